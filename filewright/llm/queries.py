@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe
+from filewright.llm import bpe, linededup, warc
 from filewright.llm.common import read_table
 
 
@@ -14,6 +14,48 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op5_byte_bpe": op5_byte_bpe}
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN g.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first < p.page_id THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >= 100
+"""
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents, with the source as the host: what is left of each text, as a digest."""
+    rows = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP8_SQL = f"""
+WITH totals AS (
+  SELECT source, count(*) AS pages FROM documents GROUP BY source HAVING count(*) >= {linededup.MIN_PAGES}
+), lines AS (
+  SELECT DISTINCT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
+), plate AS (
+  SELECT l.source, list(l.line) AS lines FROM (SELECT source, line, count(*) AS n FROM lines WHERE trim(line) <> '' GROUP BY source, line HAVING count(*) > 1) l
+  JOIN totals t ON l.source IS NOT DISTINCT FROM t.source WHERE l.n > t.pages * {linededup.RATIO} GROUP BY l.source
+), split AS (
+  SELECT d.doc_id, string_split(d.text, chr(10)) AS own, coalesce(p.lines, []) AS plate
+  FROM documents d LEFT JOIN plate p ON d.source IS NOT DISTINCT FROM p.source
+), kept AS (
+  SELECT doc_id, own, list_filter(own, lambda x: trim(x) = '' OR NOT list_contains(plate, x)) AS kept FROM split
+)
+SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(own) - len(kept), 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM kept
+"""
+
+
+QUERIES = {"op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
+
+ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
