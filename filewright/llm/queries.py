@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe, linededup, warc
+from filewright.llm import bpe, langid, linededup, toxicity, warc
 from filewright.llm.common import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"), toxicity.default_held_out())
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.predict(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), langid.default_held_out())
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,6 +66,6 @@ SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
 """
 
 
-QUERIES = {"op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
 
 ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
