@@ -78,6 +78,27 @@ def text_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary")
 
 
+#: Bits of the filter in ``split_by``: a megabyte, whatever the data.
+FILTER_BITS = 1 << 23
+
+
+def split_by(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tuple[DataFrame, DataFrame]:
+    """(maybe, never): the rows of ``df`` whose key may be among ``wanted``'s, and those whose key certainly isn't.
+
+    A bitmap of hashed keys, of a fixed size, is broadcast; so a join of wide rows with few keys needn't exchange
+    the rows that can't match. A null key is never wanted. With more keys than bits nearly all rows are maybe, which
+    is right all the same.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS)) + 1
+    marks = wanted.where(F.col(wanted_key).isNotNull()).select(bit(wanted_key).alias("b"))
+    bitmap = marks.groupBy(F.bitmap_bucket_number("b").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("__bitmap"))
+    at = F.bitmap_bit_position(bit(key))
+    byte = F.conv(F.hex(F.substring(F.col("__bitmap"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), at % 8)), F.lit(2)) == 1, F.lit(False))
+    marked = df.join(F.broadcast(bitmap), F.bitmap_bucket_number(bit(key)) == F.col("__bucket"), "left").withColumn("__maybe", found)
+    return marked.where("__maybe").select(*df.columns), marked.where("NOT __maybe").select(*df.columns)
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe, langid, linededup, toxicity, warc
+from filewright.llm import bpe, langid, linededup, substring, toxicity, warc
 from filewright.llm.common import read_table
 
 
@@ -13,6 +13,31 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, unnest(range(1, len(words) - 48)) AS s, words FROM d WHERE len(words) >= 50
+), h AS (
+  SELECT doc_id, s, md5(array_to_string(words[s : s + 49], ' ')) AS h FROM w
+), least AS (
+  SELECT h, min(doc_id) AS lo FROM h GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM h JOIN least USING (h) WHERE doc_id > lo
+), cut AS (
+  SELECT doc_id, list(i) AS cut FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, len(words) AS n, list_filter(words, lambda x, i: NOT list_contains(coalesce(cut, []), i)) AS kept FROM d LEFT JOIN cut USING (doc_id)
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.predict(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), langid.default_held_out())
     return out.select("doc_id", "held_out", "lang_pred", "score")
@@ -66,6 +91,6 @@ SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
 """
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
 
-ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
