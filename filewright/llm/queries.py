@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe, langid, linededup, substring, toxicity, warc
+from filewright.llm import bpe, langid, linededup, ngram_join, substring, toxicity, warc
 from filewright.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_
 """
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read_table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.predict(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), langid.default_held_out())
     return out.select("doc_id", "held_out", "lang_pred", "score")
@@ -91,6 +95,6 @@ SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
 """
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op3_ngram_join": op3_ngram_join, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup}
 
 ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
