@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe, decontam, langid, linededup, ngram_join, substring, toxicity, warc
+from filewright.llm import bpe, decontam, embed, langid, linededup, ngram_join, substring, toxicity, warc
 from filewright.llm.common import read_table
 
 
@@ -95,11 +95,32 @@ SELECT doc_id, CAST(coalesce(len(own), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
 """
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a
+), c AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
+)
+SELECT c.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds."""
     return decontam.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op3_ngram_join": op3_ngram_join, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op3_ngram_join": op3_ngram_join, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup, "op9_embedding_dedup": op9_embedding_dedup, "op10_decontamination": op10_decontamination}
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_embedding_dedup": OP9_SQL, "op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
