@@ -158,7 +158,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
     """Encode every whole text and decode the ids again.
 
     Returns a row for each row of ``docs``: the id, n_tokens, ids_sha256, decoded_sha256, and with ``keep_ids`` the
-    ids themselves (array<long>). A null text counts as empty (no ids); repeated rows stay repeated rows; an empty
+    ids themselves (array<int>). A null text counts as empty (no ids); repeated rows stay repeated rows; an empty
     table gives an empty table; other columns are ignored. ``vocabulary`` is read on the driver and broadcast: its
     size is that of the file, whatever the data. A match longer than the cache's bound is encoded but not cached.
     """
@@ -169,9 +169,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
     id_type = docs.schema[id_col].dataType.simpleString()
     fields = [pa.field(id_col, _arrow(id_type)), pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
     if keep_ids:
-        fields.append(pa.field("ids", pa.list_(pa.int64())))
+        fields.append(pa.field("ids", pa.list_(pa.int32())))
     schema = pa.schema(fields)
-    ddl = f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * keep_ids
+    ddl = f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches):
         codec = _codec(digest, tables, pattern)
@@ -184,7 +184,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
                 rows[1].append(hashlib.sha256(packed).hexdigest())
                 rows[2].append(hashlib.sha256(codec.decode(packed)).hexdigest())
                 if keep_ids:
-                    ids.append(np.frombuffer(packed, "<u4").astype(np.int64))
+                    ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(r, f.type) for r, f in zip(rows, fields[1:4])), *([pa.array(ids, fields[4].type)] if keep_ids else [])], schema=schema)
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, ddl)

@@ -196,3 +196,26 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: f
         part = texts.mapInArrow(run, ddl)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], ddl) if out is None else out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item, by the rules of ``find``; every column stays."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    columns = docs.columns
+    types = [f.dataType.simpleString() for f in docs.schema]
+    out = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), F.col("text").cast("string").alias("__text"))
+    ddl = ", ".join(f"c{i} {t}" for i, t in enumerate(types)) + ", __text string"
+    for items in _blocks(benchmark, block_words):
+        shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+
+        def run(batches, shared=shared, name=name):
+            if name not in _LOADED:
+                _LOADED.clear()
+                _LOADED[name] = Index(shared.value, width, threshold, radius)
+            for batch in batches:
+                clean = [not _LOADED[name].search(t) for t in batch.column("__text").to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        out = out.mapInArrow(run, ddl)
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filewright.llm import bpe, decontam, embed, langid, linededup, ngram_join, substring, toxicity, warc
+from filewright.llm import bpe, decontam, embed, langid, linededup, ngram_join, pii, substring, toxicity, warc
 from filewright.llm.common import read_table
 
 
@@ -53,6 +53,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents")).drop("base")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -121,6 +125,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op3_ngram_join": op3_ngram_join, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup, "op9_embedding_dedup": op9_embedding_dedup, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_substring_dedup": op2_substring_dedup, "op3_ngram_join": op3_ngram_join, "op4_language": op4_language, "op5_byte_bpe": op5_byte_bpe, "op6_pii": op6_pii, "op7_warc": op7_warc, "op8_line_dedup": op8_line_dedup, "op9_embedding_dedup": op9_embedding_dedup, "op10_decontamination": op10_decontamination}
 
 ORACLE_SQL: dict[str, str] = {"op9_embedding_dedup": OP9_SQL, "op2_substring_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op8_line_dedup": OP8_SQL}
