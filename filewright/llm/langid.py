@@ -82,7 +82,8 @@ def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
     lang, source and id never enter a prediction. A text that is null or holds no letter is ``und`` with score 0; so
     is every text if nothing can be learnt. Of equal code lengths the first language by name wins. A null id is
     learnt from and predicted, its held_out is false; repeated rows count each; a very long run without white space
-    is coded in pieces of 4096 bytes; an empty table gives an empty one. Every row and every other column stays.
+    is coded in pieces of 4096 bytes; an empty table gives an empty one. Every row and every other column stays
+    (columns that have the names of the new ones are replaced).
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -94,10 +95,12 @@ def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
     found, n = grams.collect(counted, width)
     model = ContextTrees(grams.Tree(found, order), n)
     shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+    docs = docs.drop("held_out", "lang_pred", "score")
     keep = docs.columns
-    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.col("text").cast("string").alias("__text"))
-    cols = [f"c{i}" for i in range(len(keep))]
-    types = [f.dataType.simpleString() for f in docs.schema]
+    held = F.coalesce(held_out, F.lit(False)).alias("held")
+    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), held, F.col("text").cast("string").alias("__text"))
+    cols = [*(f"c{i}" for i in range(len(keep))), "held"]
+    types = [*(f.dataType.simpleString() for f in docs.schema), "boolean"]
     ddl = ", ".join(f"{c} {t}" for c, t in zip(cols, types)) + ", lang_pred string, score double"
 
     def run(batches):
@@ -122,7 +125,7 @@ def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), pa.array(pred, pa.string()), pa.array(value, pa.float64())], names=[*cols, "lang_pred", "score"])
 
     out = named.mapInArrow(run, ddl)
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score").select(*keep, F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("held").alias("held_out"), "lang_pred", "score")
 
 
 def default_held_out():

@@ -45,8 +45,9 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     contain the line, once a page, over all its pages (a page without text counts). Pages of hosts below
     ``min_pages`` keep every line: a share of a few pages says nothing. A null host is a host of its own; a null
     text stays null with no lines; repeated rows are pages each; an empty table gives an empty one. Every row and
-    every other column stays.
+    every other column stays (n_lines and n_dropped are replaced).
     """
+    docs = docs.drop("n_lines", "n_dropped")
     found = boilerplate(docs, host_col, text_col, ratio, min_pages)
     found = found.select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     rows = docs.join(found, F.col(host_col).cast("string").eqNullSafe(F.col("__host")), "left")

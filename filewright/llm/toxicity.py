@@ -134,7 +134,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     A null or empty text has no evidence and gets the least score that the fit gives; of several labels of an id the
     highest counts; labels that are neither 0 nor 1 and null ids teach nothing (such documents are scored all the
     same, their held_out is false); repeated rows teach and are scored each; without labels of both kinds every score
-    is the smoothed base rate; an empty table gives an empty one. Every row and every other column stays.
+    is the smoothed base rate; an empty table gives an empty one. Every row and every other column stays (columns that
+    have the names of the new ones are replaced).
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -150,12 +151,12 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     seen = _features(sample, ["label"], [KneserNey(tree, n[:, :2]), KneserNey(tree, n[:, 2:])], "other", "text").toPandas()
     a, b = fit_logistic(seen["x"].to_numpy(float), (seen["label"].to_numpy(int) % 2).astype(float))
     final = KneserNey(tree, n[:, :2] + n[:, 2:])
+    docs = docs.drop("held_out", "score", "predicted")
     keep = docs.columns
-    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.col("text").cast("string").alias("__text"), F.lit(0).alias("__model"))
-    out = _features(named, [f"c{i}" for i in range(len(keep))], [final], "__model", "__text")
-    out = out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("x"))
+    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.coalesce(held_out, F.lit(False)).alias("held"), F.col("text").cast("string").alias("whole"), F.lit(0).alias("model"))
+    out = _features(named, [*(f"c{i}" for i in range(len(keep))), "held"], [final], "model", "whole")
     value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))
-    return out.select(*keep, F.coalesce(held_out, F.lit(False)).alias("held_out"), value.alias("score"), (value >= threshold).cast("int").alias("predicted"))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("held").alias("held_out"), value.alias("score"), (value >= threshold).cast("int").alias("predicted"))
 
 
 def default_held_out():
