@@ -28,9 +28,9 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 on five-word shingles, the one of least id stays."""
-    gone = cut(ngram_join.join(docs, 5, 80, 100).where("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-copies")
-    maybe, never = split_by(docs, "doc_id", gone, "gone")
-    return never.unionByName(maybe.join(gone, F.col("doc_id") == F.col("gone"), "left_anti"))
+    gone = cut(ngram_join.join(docs, 5, 80, 100).where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-copies")
+    maybe, never = split_by(docs, "doc_id", gone, "__gone")
+    return never.unionByName(maybe.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
