@@ -68,9 +68,13 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each task writes files under names of its own; only those of tasks that commit enter the manifest."""
+    """Each task writes files under names of its own; only those of tasks that commit enter the manifest.
 
-    def __init__(self, path: str, options: dict):
+    To append adds to the manifest, to overwrite replaces it; an archive has one writing job at a time.
+    """
+
+    def __init__(self, path: str, options: dict, overwrite: bool = False):
+        self.overwrite = overwrite
         self.path, self.gzip = path, options.get("compression", "none") == "gzip"
         self.roll = int(options.get("fileBytes", 64 << 20))
 
@@ -104,8 +108,13 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         fs, root = _open(self.path)
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(posixpath.join(root, MANIFEST)) as out:
-            out.write(json.dumps([f for m in messages if m is not None for f in m.files]).encode())
+        at, files = posixpath.join(root, MANIFEST), []
+        if not self.overwrite and fs.get_file_info(at).type == pafs.FileType.File:
+            with fs.open_input_stream(at) as had:
+                files = json.loads(had.read())
+        files += [f for m in messages if m is not None for f in m.files]
+        with fs.open_output_stream(at) as out:
+            out.write(json.dumps(files).encode())
 
     def abort(self, messages) -> None:
         fs, root = _open(self.path)
@@ -324,7 +333,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], dict(self.options))
 
     def writer(self, schema, overwrite) -> WarcWriter:
-        return WarcWriter(self.options["path"], dict(self.options))
+        return WarcWriter(self.options["path"], dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
