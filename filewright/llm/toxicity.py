@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filewright.llm import grams
-from filewright.llm.common import crc_mod, cut, small_batches
+from filewright.llm.common import crc_mod, cut, small_batches, split_by
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -142,7 +142,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     known = labels.where("toxic in (0, 1)").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & ~held_out & F.col("text").isNotNull())
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
-    train = cut(rows.join(known, F.col("doc_id") == F.col("__id")).select("doc_id", "text", (half * 2 + F.col("toxic")).alias("label"), (1 - half).alias("other")), "toxicity-train")
+    rows, _ = split_by(rows, "doc_id", known, "__id")  # else all texts would be exchanged for the join
+    train = cut(rows.join(known.hint("shuffle_merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", (half * 2 + F.col("toxic")).alias("label"), (1 - half).alias("other")), "toxicity-train")
     counted = cut(grams.count(train, 4, ORDER), "toxicity-grams")
     found, n = grams.collect(counted, 4)
     tree = grams.Tree(found, ORDER)
