@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from filewright.functions.company import has_ending
-from filewright.functions.scalars import blank_to_null, squeeze, trim_all
+from filewright.functions.scalars import blank_to_null, let, squeeze, trim_all
 from filewright.functions.vocab import COUNTRIES, PLACE_CODES, US_STATES
 
 # Number words, street types and directions that a US street line abbreviates.
@@ -56,10 +56,13 @@ def city(c: Column) -> Column:
 def us_street(c: Column) -> Column:
     """AD6: (street1, street2): number words to digits, common types abbreviated, a unit moved to the second line."""
     unit = F.nullif(F.regexp_extract(c, _UNIT, 1), F.lit(""))
-    line = F.regexp_replace(c, _UNIT, "")
-    first = F.lower(F.regexp_extract(line, r"^(\w+)\s", 1))
-    for word, digit in NUMBERS.items():
-        line = F.when(first == word, F.concat(F.lit(digit), F.substring(line, F.lit(len(word) + 1), F.length(line)))).otherwise(line)
+    digits = F.create_map(*(F.lit(x) for pair in NUMBERS.items() for x in pair))
+
+    def counted(x: Column) -> Column:
+        digit = F.try_element_at(digits, F.lower(F.regexp_extract(x, r"^(\w+)\s", 1)))
+        return F.coalesce(F.concat(digit, F.regexp_extract(x, r"^\w+(\s.*)\z", 1)), x)
+
+    line = let(F.regexp_replace(c, _UNIT, ""), counted)
     for word, short in TYPES.items():
         line = F.regexp_replace(line, rf"(?i)(?<=\w\s)\b{word}\b\.?(?=\s*(?:[NSEW]{{1,2}}\.?)?\s*\z)", short)
     return F.struct(squeeze(line).alias("street1"), unit.alias("street2"))
@@ -67,11 +70,14 @@ def us_street(c: Column) -> Column:
 
 def postal_code(c: Column, country: Column) -> Column:
     """AD7."""
-    t = F.upper(trim_all(c))
-    us = F.nullif(F.regexp_extract(t, r"([0-9]{5})-[0-9]{4}", 1), F.lit(""))
-    ca = F.when(t.rlike(r"^[A-Z][0-9][A-Z]\s?[0-9][A-Z][0-9]\z"), F.concat(F.substring(t, 1, 3), F.lit(" "), F.substring(t, -3, 3)))
-    gb = F.when(t.rlike(r"^[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}\z"), F.concat(trim_all(F.regexp_extract(t, r"^(.*?)\s?[0-9][A-Z]{2}\z", 1)), F.lit(" "), F.substring(t, -3, 3)))
-    return F.when(t == "", None).otherwise(F.coalesce(F.when(country == "US", us).when(country == "CA", ca).when(country == "GB", gb), t))
+
+    def normal(t: Column) -> Column:
+        us = F.nullif(F.regexp_extract(t, r"([0-9]{5})-[0-9]{4}", 1), F.lit(""))
+        ca = F.when(t.rlike(r"^[A-Z][0-9][A-Z]\s?[0-9][A-Z][0-9]\z"), F.concat(F.substring(t, 1, 3), F.lit(" "), F.substring(t, -3, 3)))
+        gb = F.when(t.rlike(r"^[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}\z"), F.concat(F.regexp_extract(t, r"^(.*?)\s?[0-9][A-Z]{2}\z", 1), F.lit(" "), F.substring(t, -3, 3)))
+        return F.when(t == "", None).otherwise(F.coalesce(F.when(country == "US", us).when(country == "CA", ca).when(country == "GB", gb), t))
+
+    return let(F.upper(trim_all(c)), normal)
 
 
 def address_key(*parts: Column) -> Column:
@@ -81,15 +87,21 @@ def address_key(*parts: Column) -> Column:
 
 def address(street1: Column, street2: Column, street3: Column, city_: Column, state: Column, zip_: Column, country: Column | None = None, countries: list = COUNTRIES) -> Column:
     """AD1-AD10 together: the normal address as a struct, null unless street, state, city and country are known."""
-    code = F.coalesce(blank_to_null(state), place_code(street1, street2, street3, city_))
-    iso = country_code(code, None, country, countries)
     lines = consolidate(clean_street(street1), clean_street(street2), clean_street(street3))
-    parsed = us_street(F.get(lines, F.lit(0)))
-    is_us = (iso == "US") & F.get(lines, F.lit(0)).isNotNull()
-    rest = F.when(is_us & parsed["street2"].isNotNull(), F.array_compact(F.concat(F.array(parsed["street2"]), F.slice(lines, 2, 2)))).otherwise(F.slice(lines, 2, 2))
-    one = F.coalesce(F.when(is_us, parsed["street1"]), F.get(lines, F.lit(0)), blank_to_null(street1))
-    two, three = F.get(rest, F.lit(0)), F.get(rest, F.lit(1))
-    town, post = city(city_), postal_code(zip_, iso)
-    ok = (one != "") & (code != "") & (town != "") & (iso != "")
-    key = address_key(one, two, three, town, code, iso, post)
-    return F.when(ok, F.struct(key.alias("address_hash_id"), one.alias("street1"), two.alias("street2"), three.alias("street3"), town.alias("city"), code.alias("state_or_country"), iso.alias("country_code"), post.alias("zip")))
+    facts = let(F.coalesce(blank_to_null(state), place_code(street1, street2, street3, city_)), lambda code: F.struct(code.alias("code"), country_code(code, None, country, countries).alias("iso"), lines.alias("lines")))
+
+    def parsed(x: Column) -> Column:
+        first = F.get(x["lines"], F.lit(0))
+        us = F.when((x["iso"] == "US") & first.isNotNull(), us_street(first))
+        return let(us, lambda u: F.struct(x["code"].alias("code"), x["iso"].alias("iso"), F.coalesce(u["street1"], first, blank_to_null(street1)).alias("one"), F.array_compact(F.concat(F.array(u["street2"]), F.slice(x["lines"], 2, 2))).alias("rest")))
+
+    def row(x: Column) -> Column:
+        parts = F.struct(
+            x["one"].alias("street1"), F.get(x["rest"], F.lit(0)).alias("street2"), F.get(x["rest"], F.lit(1)).alias("street3"), city(city_).alias("city"),
+            x["code"].alias("state_or_country"), x["iso"].alias("country_code"), postal_code(zip_, x["iso"]).alias("zip"),
+        )
+        names = ("street1", "street2", "street3", "city", "state_or_country", "country_code", "zip")
+        whole = lambda p: F.when((p["street1"] != "") & (p["state_or_country"] != "") & (p["city"] != "") & (p["country_code"] != ""), F.struct(address_key(*(p[n] for n in names)).alias("address_hash_id"), *(p[n].alias(n) for n in names)))
+        return let(parts, whole)
+
+    return let(let(facts, parsed), row)

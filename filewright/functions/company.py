@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from filewright.functions.scalars import any_of, blank_to_null, replace_first, squeeze, trim_all
+from filewright.functions.scalars import any_of, blank_to_null, let, replace_first, squeeze, trim_all
 from filewright.functions.vocab import ENDINGS_KEPT, ENDINGS_STRIPPED, LEGAL_FORMS, RENAMED
 
 #: In compat mode the last stripped entry is taken as the character class that its brackets spell.
@@ -12,12 +12,13 @@ _CLASS = ENDINGS_STRIPPED[-1]
 
 
 def endings(compat: bool = False) -> str:
-    stripped = any_of(ENDINGS_STRIPPED[:-1]) + "|" + (_CLASS if compat else any_of([_CLASS]))
-    return f"{any_of(ENDINGS_KEPT)}|{stripped}|{'|'.join(LEGAL_FORMS)}"
+    words = any_of(ENDINGS_STRIPPED[:-1]) + "|" + (_CLASS if compat else any_of([_CLASS]))
+    return f"{any_of(ENDINGS_KEPT)}|{words}|{'|'.join(LEGAL_FORMS)}"
 
 
 def stripped(compat: bool = False) -> str:
-    return any_of(ENDINGS_STRIPPED[:-1]) + "|" + (_CLASS if compat else any_of([_CLASS]))
+    """The endings that can be stripped: the phrase that ends in COMPANY loses that word first, and then is none."""
+    return any_of(ENDINGS_STRIPPED[:-2]) + ("|" + _CLASS if compat else "")
 
 
 def has_ending(c: Column, compat: bool = False) -> Column:
@@ -38,7 +39,8 @@ def has_anywhere(c: Column, compat: bool = False) -> Column:
 def strip_endings(c: Column, compat: bool = False) -> Column:
     """Without punctuation, and without any of the stripped endings at the end, however many there are."""
     c = squeeze(F.regexp_replace(c, "[.,;:!?]", ""))
-    return trim_all(F.regexp_replace(c, rf"(?i)(?:\s*\b(?:{stripped(compat)})|\s*{any_of([_CLASS])})+\s*\z", ""))
+    phrase = "" if compat else rf"|\s*{any_of([_CLASS])}"  # begins with no letter, so no word boundary before it
+    return trim_all(F.regexp_replace(c, rf"(?i)(?:\s*\b(?:{stripped(compat)}){phrase})+\s*\z", ""))
 
 
 def remove_phrases(c: Column) -> Column:
@@ -50,10 +52,8 @@ def remove_phrases(c: Column) -> Column:
 
 def renamed(c: Column) -> Column:
     """C6."""
-    out = c
-    for old, new in RENAMED.items():
-        out = F.when(F.lower(c) == old, new).otherwise(out)
-    return out
+    names = F.create_map(*(F.lit(x) for pair in RENAMED.items() for x in pair))
+    return let(c, lambda x: F.coalesce(F.try_element_at(names, F.lower(x)), x))
 
 
 def normal_name(c: Column, compat: bool = False) -> Column:
@@ -79,7 +79,7 @@ def slug(c: Column) -> Column:
 
 def company(name: Column, cik: Column | None = None, crd: Column | None = None, compat: bool = False) -> Column:
     """(company_hash_id, company_name, cik, crd), null if the name normalizes to nothing; 0 and '' become null."""
-    normal = normal_name(name, compat)
     cik = F.lit(None).cast("long") if cik is None else F.nullif(cik.cast("long"), F.lit(0))
     crd = F.lit(None).cast("string") if crd is None else F.nullif(crd.cast("string"), F.lit(""))
-    return F.when(normal.isNotNull(), F.struct(slug(normal).alias("company_hash_id"), normal.alias("company_name"), cik.alias("cik"), crd.alias("crd")))
+    row = lambda n: F.when(n.isNotNull(), F.struct(slug(n).alias("company_hash_id"), n.alias("company_name"), cik.alias("cik"), crd.alias("crd")))
+    return let(normal_name(name, compat), row)

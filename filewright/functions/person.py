@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from filewright.functions.scalars import any_of, replace_first, squeeze
+from filewright.functions.scalars import any_of, let, replace_first, squeeze
 
 # Words before a name, after a name, and those that belong to the family name.
 TITLES = ["dr", "mr", "mrs", "ms", "prof", "hon", "rev", "sir"]
@@ -14,40 +14,63 @@ PARTICLES = ["del", "de", "la", "van", "von", "der", "den", "di", "da", "le", "b
 
 def fix_case(c: Column) -> Column:
     """Capital letters at the start of words, after hyphens and after O' and D'."""
-    parts = F.transform(F.split(F.lower(c), "-"), lambda p: F.initcap(p))
-    joined = F.array_join(parts, "-")
-    return F.when(joined.rlike("^[OD]'[a-z]"), F.concat(F.substring(joined, 1, 2), F.upper(F.substring(joined, 3, 1)), joined.substr(F.lit(4), F.length(joined)))).otherwise(joined)
+    joined = F.array_join(F.transform(F.split(F.lower(c), "-"), lambda p: F.initcap(p)), "-")
+    irish = lambda j: F.when(j.rlike("^[OD]'[a-z]"), F.concat(F.substring(j, 1, 2), F.upper(F.substring(j, 3, 1)), j.substr(F.lit(4), F.length(j)))).otherwise(j)
+    return let(joined, irish)
 
 
-def person(name: Column, cik: Column | None = None, crd: Column | None = None) -> Column:
-    """(first, middle, last, suffix, title, nick, cik, crd, person_hash_id), null without a first and last name."""
-    text = squeeze(replace_first(name, "/s/"))
-    nick = F.nullif(F.regexp_extract(text, "[\"(“]([^\")”]+)[\")”]", 1), F.lit(""))
-    text = squeeze(F.regexp_replace(text, "[\"(“][^\")”]*[\")”]", " "))
+def _bare(w: Column) -> Column:
+    return F.replace(F.lower(w), F.lit("."), F.lit(""))
+
+
+def _in_order(text: Column) -> Column:
+    """"Last, First" turns round unless a suffix follows the comma."""
     ends = any_of(list(SUFFIXES))
-    # "Last, First" turns round unless a suffix follows the comma
-    turned = F.regexp_extract(text, "^([^,]+),\\s*(.+)\\z", 2)
-    turns = text.contains(",") & ~F.lower(turned).rlike(rf"^(?:{ends})\.?\z")
-    text = F.when(turns, F.concat(turned, F.lit(" "), F.regexp_extract(text, "^([^,]+),", 1))).otherwise(text)
-    words = F.filter(F.split(F.replace(text, F.lit(","), F.lit(" ")), "\\s+"), lambda w: w != "")
-    bare = lambda w: F.replace(F.lower(w), F.lit("."), F.lit(""))
-    title = F.when(bare(F.get(words, F.lit(0))).isin(TITLES), F.get(words, F.lit(0)))
-    words = F.when(title.isNotNull(), F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
-    last_word = F.get(words, F.size(words) - 1)
+    after = F.regexp_extract(text, "^([^,]+),\\s*(.+)\\z", 2)
+    turns = text.contains(",") & (after != "") & ~F.lower(after).rlike(rf"^(?:{ends})\.?\z")
+    return F.when(turns, F.concat(after, F.lit(" "), F.regexp_extract(text, "^([^,]+),", 1))).otherwise(text)
+
+
+def _titled(words: Column) -> Column:
+    """(title, words without it)."""
+    has = _bare(F.get(words, F.lit(0))).isin(TITLES)
+    return F.struct(F.when(has, F.get(words, F.lit(0))).alias("title"), F.when(has, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words).alias("words"))
+
+
+def _suffixed(t: Column) -> Column:
+    """(title, suffix, words without them)."""
     known = F.create_map(*(F.lit(x) for pair in SUFFIXES.items() for x in pair))
-    suffix = F.when(F.size(words) > 2, F.try_element_at(known, bare(last_word)))
-    words = F.when(suffix.isNotNull(), F.slice(words, F.lit(1), F.size(words) - 1)).otherwise(words)
+    found = F.when(F.size(t["words"]) > 2, F.try_element_at(known, _bare(F.get(t["words"], F.size(t["words"]) - 1))))
+    return F.struct(t["title"].alias("title"), found.alias("suffix"), F.when(found.isNotNull(), F.slice(t["words"], F.lit(1), F.size(t["words"]) - 1)).otherwise(t["words"]).alias("words"))
+
+
+def _named(t: Column) -> Column:
+    """The parts of the name, null unless there are two words."""
+    words = t["words"]
     n = F.size(words)
     before = F.get(words, n - 2)
     split = F.when((n > 2) & F.lower(before).isin(PARTICLES), n - 2).otherwise(n - 1)
-    first = fix_case(F.get(words, F.lit(0)))
-    middle = F.nullif(F.array_join(F.transform(F.slice(words, F.lit(2), F.greatest(split - 1, F.lit(0))), fix_case), " "), F.lit(""))
+    middle = F.array_join(F.transform(F.slice(words, F.lit(2), F.greatest(split - 1, F.lit(0))), fix_case), " ")
     last = F.concat_ws(" ", F.when(split < n - 1, F.lower(before)), fix_case(F.get(words, n - 1)))
-    fields = {"first": first, "middle": F.coalesce(middle, F.lit("")), "last": last, "suffix": F.coalesce(suffix, F.lit("")), "title": F.coalesce(fix_case(title), F.lit("")), "nick": F.coalesce(nick, F.lit(""))}
-    key = slug(*(fields[k] for k in ("first", "middle", "nick", "last", "suffix")))
+    parts = F.struct(fix_case(F.get(words, F.lit(0))).alias("first"), middle.alias("middle"), last.alias("last"), F.coalesce(t["suffix"], F.lit("")).alias("suffix"), F.coalesce(fix_case(t["title"]), F.lit("")).alias("title"))
+    return F.when(n >= 2, parts)
+
+
+def person(name: Column, cik: Column | None = None, crd: Column | None = None) -> Column:
+    """(first, middle, last, suffix, title, nick, cik, crd, person_hash_id), null without a first and last name."""
     cik = F.lit(None).cast("long") if cik is None else F.nullif(cik.cast("long"), F.lit(0))
     crd = F.lit(None).cast("string") if crd is None else F.nullif(crd.cast("string"), F.lit(""))
-    return F.when(n >= 2, F.struct(*(c.alias(k) for k, c in fields.items()), cik.alias("cik"), crd.alias("crd"), key.alias("person_hash_id")))
+
+    def row(text: Column) -> Column:
+        nick = F.regexp_extract(text, "[\"(“]([^\")”]+)[\")”]", 1)
+        plain = squeeze(F.regexp_replace(text, "[\"(“][^\")”]*[\")”]", " "))
+        words = let(plain, lambda x: F.filter(F.split(F.replace(_in_order(x), F.lit(","), F.lit(" ")), "\\s+"), lambda w: w != ""))
+        parts = let(let(let(words, _titled), _suffixed), _named)
+        fields = ("first", "middle", "last", "suffix", "title")
+        whole = lambda p: F.when(p.isNotNull(), F.struct(*(p[f].alias(f) for f in fields), nick.alias("nick"), cik.alias("cik"), crd.alias("crd"), slug(p["first"], p["middle"], nick, p["last"], p["suffix"]).alias("person_hash_id")))
+        return let(parts, whole)
+
+    return let(squeeze(replace_first(name, "/s/")), row)
 
 
 def slug(*parts: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from filewright.functions.scalars import trim_all
+from filewright.functions.scalars import let, trim_all
 
 # Calling codes of regions; the numbers of other regions must carry a plus sign.
 CALLING = {"US": "1", "CA": "1", "GB": "44", "DE": "49", "FR": "33", "CH": "41", "IL": "972", "CN": "86", "HK": "852", "SG": "65", "IE": "353", "AU": "61", "JP": "81"}
@@ -13,23 +13,33 @@ CALLING = {"US": "1", "CA": "1", "GB": "44", "DE": "49", "FR": "33", "CH": "41",
 def phone(raw: Column, region: Column | None = None) -> Column:
     """PH1: (international_number, type, extension), null for what can't be a number (letters, zeros, too short)."""
     region = F.coalesce(region, F.lit("US")) if region is not None else F.lit("US")
-    text = trim_all(raw)
-    ext = F.nullif(F.regexp_extract(text, r"(?i)(?:ext\.?|extension|x)\s*([0-9]{1,6})\z", 1), F.lit(""))
-    body = trim_all(F.regexp_replace(text, r"(?i)[,;\s]*(?:ext\.?|extension|x)\s*[0-9]{1,6}\z", ""))
-    fine = body.rlike(r"^\+?[0-9(][0-9()\s./-]*\z")
-    digits = F.regexp_replace(body, "[^0-9]", "")
-    plus = body.startswith("+")
     calling = F.try_element_at(F.create_map(*(F.lit(x) for p in CALLING.items() for x in p)), F.upper(region))
-    national = F.when(~plus & (calling == "1"), F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)).when(plus & digits.startswith("1") & (F.length(digits) == 11), F.substring(digits, 2, 10))
-    nanp = F.when(national.rlike("^[2-9][0-9]{9}\\z"), F.concat(F.lit("+1 "), F.substring(national, 1, 3), F.lit("-"), F.substring(national, 4, 3), F.lit("-"), F.substring(national, 7, 4)))
-    gb_digits = F.when(plus & digits.startswith("44"), F.substring(digits, F.lit(3), F.length(digits))).when(~plus & (calling == "44"), F.regexp_replace(digits, "^0", ""))
-    gb = F.when(gb_digits.rlike("^20[0-9]{8}\\z"), F.concat(F.lit("+44 20 "), F.substring(gb_digits, 3, 4), F.lit(" "), F.substring(gb_digits, 7, 4))).when(gb_digits.rlike("^[1-9][0-9]{9}\\z"), F.concat(F.lit("+44 "), F.substring(gb_digits, 1, 4), F.lit(" "), F.substring(gb_digits, 5, 6)))
-    other_digits = F.when(plus, digits).when(calling.isNotNull() & (calling != "1"), F.concat(calling, F.regexp_replace(digits, "^0", "")))
-    other = F.when(~other_digits.rlike("^(?:1|44|0)") & other_digits.rlike("^[0-9]{8,15}\\z"), F.concat(F.lit("+"), other_digits))
-    number = F.when(fine & ~digits.rlike("^0*\\z"), F.coalesce(nanp, gb, other))
-    kind = F.when(gb.isNotNull() & ~gb_digits.startswith("7"), "fixed-line").when(gb.isNotNull(), "mobile").otherwise("unknown")
-    full = F.concat(number, F.when(ext.isNotNull(), F.concat(F.lit(" ext. "), ext)).otherwise(""))
-    return F.when(number.isNotNull(), F.struct(full.alias("international_number"), kind.alias("type"), ext.alias("extension"), raw.alias("raw_phone")))
+    text = trim_all(raw)
+    seen = F.struct(
+        F.nullif(F.regexp_extract(text, r"(?i)(?:ext\.?|extension|x)\s*([0-9]{1,6})\z", 1), F.lit("")).alias("ext"),
+        trim_all(F.regexp_replace(text, r"(?i)[,;\s]*(?:ext\.?|extension|x)\s*[0-9]{1,6}\z", "")).alias("body"), calling.alias("calling"),
+    )
+    split = lambda s: F.struct(s["ext"].alias("ext"), s["calling"].alias("calling"), s["body"].startswith("+").alias("plus"), s["body"].rlike(r"^\+?[0-9(][0-9()\s./-]*\z").alias("fine"), F.regexp_replace(s["body"], "[^0-9]", "").alias("digits"))
+
+    def read(s: Column) -> Column:
+        digits, plus, code = s["digits"], s["plus"], s["calling"]
+        eleven = (F.length(digits) == 11) & digits.startswith("1")
+        national = F.when(eleven & (plus | (code == "1")), F.substring(digits, 2, 10)).when(~plus & (code == "1"), digits)
+        gb = F.when(plus & digits.startswith("44"), F.substring(digits, F.lit(3), F.length(digits))).when(~plus & (code == "44"), F.regexp_replace(digits, "^0", ""))
+        other = F.when(plus, digits).when(code.isNotNull() & (code != "1"), F.concat(code, F.regexp_replace(digits, "^0", "")))
+        return F.struct(s["ext"].alias("ext"), (s["fine"] & ~digits.rlike("^0*\\z")).alias("fine"), national.alias("national"), gb.alias("gb"), other.alias("other"))
+
+    def written(s: Column) -> Column:
+        n, g, o = s["national"], s["gb"], s["other"]
+        nanp = F.when(n.rlike("^[2-9][0-9]{9}\\z"), F.concat(F.lit("+1 "), F.substring(n, 1, 3), F.lit("-"), F.substring(n, 4, 3), F.lit("-"), F.substring(n, 7, 4)))
+        london = F.when(g.rlike("^20[0-9]{8}\\z"), F.concat(F.lit("+44 20 "), F.substring(g, 3, 4), F.lit(" "), F.substring(g, 7, 4)))
+        british = F.when(g.rlike("^[1-9][0-9]{9}\\z"), F.concat(F.lit("+44 "), F.substring(g, 1, 4), F.lit(" "), F.substring(g, 5, 6)))
+        abroad = F.when(~o.rlike("^(?:1|44|0)") & o.rlike("^[0-9]{8,15}\\z"), F.concat(F.lit("+"), o))
+        kind = F.when(n.isNull() & g.rlike("^[1-689][0-9]{9}\\z"), "fixed-line").when(n.isNull() & g.rlike("^7[0-9]{9}\\z"), "mobile").otherwise("unknown")
+        return F.struct(F.when(s["fine"], F.coalesce(nanp, london, british, abroad)).alias("number"), kind.alias("type"), s["ext"].alias("ext"))
+
+    row = lambda w: F.when(w["number"].isNotNull(), F.struct(F.concat_ws(" ext. ", w["number"], w["ext"]).alias("international_number"), w["type"].alias("type"), w["ext"].alias("extension"), raw.alias("raw_phone")))
+    return let(let(let(let(seen, split), read), written), row)
 
 
 def phone_or_us(raw: Column, region: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -24,13 +25,17 @@ def squeeze(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.when(trim_all(c) != "", c)
+    return let(c, lambda x: F.when(trim_all(x) != "", x))
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it: expressions would else grow with each use."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def replace_first(c: Column, literal: str, by: str = "") -> Column:
     """Replace the first occurrence of a literal."""
-    at = F.instr(c, literal)
-    return F.when(at > 0, F.concat(F.substring(c, F.lit(1), at - 1), F.lit(by), F.substring(c, at + len(literal), F.length(c)))).otherwise(c)
+    return F.regexp_replace(c, f"(?s)^(.*?)\\Q{literal}\\E", "$1" + by)
 
 
 def parse_date(c: Column) -> Column:

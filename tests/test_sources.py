@@ -1,0 +1,142 @@
+"""Scans of the wire formats, the notices of offerings, the jobs and the stream, on files made here."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from filewright.operators import catalog, form_d, reshape
+from filewright.operators.specs import TABLES
+from filewright.operators.store import Store
+from filewright.plans.engine import Engine
+from filewright.sources import files
+from filewright.streaming import index_stream
+
+HEAD = "Description: made for tests\nLast Data Received: today\n\nCIK|Company Name|Form Type|Date Filed|File Name\n" + "-" * 40 + "\n"
+
+
+def index(*rows):
+    return HEAD + "".join("|".join(map(str, r)) + "\n" for r in rows)
+
+
+def test_master_index(spark, tmp_path):
+    (tmp_path / "a.idx").write_text(index((7, 'A "quoted" Co', "D", "2024-01-02", "f/7"), (7, "A", "D", "2024-03-02", "f/8"), (9, "B", "4", "20240105", "f/9"), (9, "B", "4", "x"), (9, "B", "4", "d", "e", "f")) + "\n")
+    rows = files.master_index(spark, f"{tmp_path}/a.idx")
+    assert rows.count() == 3 and rows.where("company_name like '%\"quoted\"%'").count() == 1
+    assert sorted((r.cik, r.last_update) for r in files.quarterly_index(rows).collect()) == [(7, "2024-03-02"), (9, "2024-01-05")]
+    assert sorted((r.cik, r.last_update) for r in files.daily_index(rows, "2024-09-09").collect()) == [(7, "2024-09-09"), (9, "2024-09-09")]
+    (tmp_path / "bad.idx").write_text("<Error>\n<Code>AccessDenied</Code>\n</Error>")
+    with pytest.raises(ValueError):
+        files.master_index(spark, f"{tmp_path}/bad.idx")
+
+
+def test_names(spark, tmp_path):
+    (tmp_path / "n.txt").write_text("A: B CO:0000000012:\n :0000000013:\n\nODD LINE\n")
+    assert sorted((r.name, r.cik) for r in files.cik_names(spark, f"{tmp_path}/n.txt").collect()) == [("?", 13), ("A: B CO", 12)]
+
+
+FACTS = {"cik": "12", "entityName": "A", "facts": {g: {"Cash": {"label": "c", "description": "d", "units": {u: [{"end": "2024-01-01", "val": 1.5, "accn": f"{g}{u}", "fy": 2024, "fp": "Q1", "form": "10-Q", "filed": "2024-02-01"}] for u in ("USD", "shares")}}} for g in ("dei", "gaap")}}
+ADDRESS = {"street1": "1 Main Street", "city": "Boston", "stateOrCountry": "MA", "zipCode": "02101"}
+RECENT = {k: [a, b] for k, a, b in [
+    ("accessionNumber", "0-1", "0-2"), ("filingDate", "2024-01-01", "2024-02-01"), ("reportDate", "", "2024-01-31"), ("acceptanceDateTime", "t", "u"), ("act", "", "34"), ("form", "D", "8-K"), ("filmNumber", "", ""), ("fileNumber", "021-1", ""),
+    ("items", "", "1.01, 9.01"), ("size", 0, 12), ("isXBRL", 0, 1), ("isInlineXBRL", "0", "1"), ("primaryDocument", "xslFormDX01/d.xml", "k.htm"), ("primaryDocDescription", "", "x"),
+]}
+SUBMISSION = {"cik": "12", "entityType": "operating", "sic": "7372", "sicDescription": "Software", "name": "A", "tickers": ["AA", "BB", "CC"], "exchanges": ["N", None], "ein": "", "phone": "2125550100", "addresses": {"mailing": ADDRESS, "business": {"street1": None}}, "filings": {"recent": RECENT, "files": []}}
+
+
+def test_facts_and_submissions(spark):
+    rows = files.company_facts(spark.createDataFrame([(json.dumps(FACTS),)], "value string"))
+    assert rows.count() == 4 and len(rows.columns) == 13 and rows.where("frame is null and start_date is null").count() == 4
+    main = files.submissions(spark.createDataFrame([(json.dumps(SUBMISSION),)], "value string"))
+    extra = spark.createDataFrame([(json.dumps({k: v[:1] for k, v in RECENT.items()} | {"accessionNumber": ["0-3"]}),)], "value string")
+    got = {r.accession_number: r for r in reshape.filings(main, files.overflow_filings(extra).withColumn("cik", F.lit(12).cast("long"))).collect()}
+    assert set(got) == {"0-1", "0-2", "0-3"} and got["0-1"].primary_doc == "d.xml" and got["0-1"].size is None and got["0-1"].is_xbrl is None and got["0-2"].is_inline_xbrl is True
+    assert [tuple(r) for r in reshape.tickers(main).collect()] == [(12, "AA", "N")]
+    assert reshape.contact_phones(main).first().phone.international_number == "+1 212-555-0100"
+    places = {r.relation_name: r.address for r in reshape.contact_addresses(main).collect()}
+    assert places["entity:mailing"].street1 == "1 Main St" and places["entity:business"] is None
+    assert reshape.sic_codes(main).first().description == "Software" and reshape.entities(main).first().ein is None
+    assert catalog.items(reshape.filings(main).where("items is not null")).where("description is not null").count() == 2
+
+
+def issuer(cik, name, prev="<value>None</value>"):
+    return f"<cik>{cik}</cik><entityName>{name}</entityName><issuerAddress><street1>1 Main Street</street1><city>Boston</city><stateOrCountry>MA</stateOrCountry><zipCode>02101</zipCode></issuerAddress><issuerPhoneNumber>212-555-0100</issuerPhoneNumber><issuerPreviousNameList>{prev}</issuerPreviousNameList>"
+
+
+def related(first, last, roles="<relationship>Director</relationship>"):
+    return f"<relatedPersonInfo><relatedPersonName><firstName>{first}</firstName><lastName>{last}</lastName></relatedPersonName><relatedPersonAddress><street1>nowhere</street1><city>x</city><stateOrCountry></stateOrCountry></relatedPersonAddress><relatedPersonRelationshipList>{roles}</relatedPersonRelationshipList></relatedPersonInfo>"
+
+
+FORM = (
+    '<?xml version="1.0"?><edgarSubmission xmlns:x="urn:x"><submissionType>D</submissionType><primaryIssuer>' + issuer(12, "Orion Fund LLC", "<previousName>Old Orion Inc</previousName><previousName>None</previousName>") + "</primaryIssuer>"
+    "<issuerList><issuer>" + issuer(13, "Second LP") + "</issuer></issuerList><relatedPersonsList>" + related("Anna", "Lee", "<relationship>Director</relationship><relationship>Promoter</relationship>") + related("n/a", "Orion Manager LLC") + related("N/A", "-") + "</relatedPersonsList>"
+    "<offeringData><industryGroup><industryGroupType>Pooled</industryGroupType><investmentFundInfo><investmentFundType>Hedge</investmentFundType></investmentFundInfo></industryGroup><federalExemptionsExclusions><item>06b</item></federalExemptionsExclusions>"
+    "<typeOfFiling><dateOfFirstSale><yetToOccur>true</yetToOccur></dateOfFirstSale></typeOfFiling><typesOfSecuritiesOffered><isDebtType>true</isDebtType></typesOfSecuritiesOffered><minimumInvestmentAccepted>0</minimumInvestmentAccepted>"
+    "<salesCompensationList><recipient><recipientName>Big Broker Inc</recipientName><recipientCRDNumber>None</recipientCRDNumber></recipient><recipient><recipientName>None</recipientName></recipient></salesCompensationList>"
+    "<offeringSalesAmounts><totalOfferingAmount>Indefinite</totalOfferingAmount><totalAmountSold>500</totalAmountSold><totalRemaining>Indefinite</totalRemaining></offeringSalesAmounts><investors><totalNumberAlreadyInvested>3</totalNumberAlreadyInvested></investors>"
+    "<signatureBlock><authorizedRepresentative>true</authorizedRepresentative><signature><signatureName>Anna Lee</signatureName><signatureTitle>CEO</signatureTitle></signature></signatureBlock></offeringData></edgarSubmission>"
+)
+
+
+def test_form_d(spark):
+    texts = spark.createDataFrame([(99, "021-1", "0-1", FORM)], "cik long, file_number string, accession_number string, text string")
+    out = form_d.extract(form_d.parse(texts))
+    offer, past = out.offerings.first(), out.history.first()
+    assert offer.is_debt is True and offer.is_equity is None and offer.is_business_combination is False and offer.date_of_first_sale is None and offer.industry_subgroup == "Hedge" and offer.exemptions == ["06b"]
+    assert past.total_offering_amount is None and past.total_amount_sold == 500 and past.investor_count == 3 and past.minimum_investment_accepted == 0
+    assert sorted((r.issuer_cik, r.is_primary) for r in out.issuers.collect()) == [(12, True), (13, False)]
+    assert {r.company_name for r in out.companies.collect()} == {"Orion Fund LLC", "Second LP", "Orion Manager LLC", "Big Broker"}
+    assert {r.person_hash_id for r in out.persons.collect()} == {"anna-lee"} and out.addresses.count() == 1 and out.phones.count() == 1
+    assert sorted(r.relation_name for r in out.person_edges.collect()) == ["form-d:related-person", "form-d:signature"]
+    assert [r.previous_name for r in out.previous_names.collect()] == ["Old Orion Inc"]
+    assert {r.reason for r in out.rejects.collect()} == {"address"}
+    signer = out.person_edges.where("relation_name = 'form-d:signature'").first()
+    assert signer.titles == ["CEO", "Authorized Representative"]
+
+
+def test_engine(spark, tmp_path):
+    land = tmp_path / "land"
+    for sub in ("daily-index/2024", "full-index/2024/QTR1", "companyfacts", "submissions", "data/12/01"):
+        (land / sub).mkdir(parents=True)
+    (land / "daily-index/2024/2024-05-05.master.idx").write_text(index((12, "A", "D", "20240505", "f")))
+    (land / "full-index/2024/QTR1/master.idx").write_text(index((12, "A", "D", "2024-01-05", "f"), (50, "B", "D", "2024-01-06", "f")))
+    (land / "cik-lookup-data.txt").write_text("A:0000000012:\nB:0000000050:\n")
+    (land / "companyfacts/CIK0000000012.json").write_text(json.dumps(FACTS))
+    (land / "submissions/CIK0000000012.json").write_text(json.dumps(SUBMISSION))
+    (land / "data/12/01/d.xml").write_text(FORM)
+    engine = Engine(spark, f"file://{tmp_path}/store", str(land), "2024-06-01")
+    engine.load_names()
+    engine.load_quarters(2024, 2024)
+    engine.load_day("2024-05-05")
+    assert sorted((r.cik, r.last_update) for r in engine.table("cik_last_update").collect()) == [(12, "2024-05-05"), (50, "2024-01-06")]
+    assert engine.work("facts").count() == 2
+    engine.update_facts()
+    engine.update_facts()
+    assert engine.table("company_facts").count() == 4
+    assert sorted((r.cik, r.last_processed, r.success) for r in engine.table("processed_facts").collect()) == [(12, "2024-06-01", True), (50, "2025-06-01", False)]
+    engine.update_submissions()
+    assert engine.table("filings").count() == 2 and engine.table("addresses").count() == 1 and engine.work("submissions").count() == 0
+    engine.load_forms(cik=12, form="D")
+    assert engine.table("investment_offerings").count() == 1 and engine.table("persons").count() == 1 and engine.table("companies_entity_junction").count() >= 4
+
+
+def test_stream(spark, tmp_path):
+    land = tmp_path / "daily"
+    land.mkdir()
+    (land / "2024-05-05.master.idx").write_text(index((12, "A", "D", "20240505", "f"), (12, "A", "4", "20240505", "f")))
+    store = Store(spark, f"file://{tmp_path}/store")
+    run = lambda: index_stream.follow_daily_indexes(spark, str(land), store, f"{tmp_path}/check").awaitTermination()
+    run()
+    (land / "2024-05-06.master.idx").write_text(index((12, "A", "D", "20240506", "f"), (13, "A", "D", "20240506", "f")))
+    run()
+    assert sorted((r.cik, r.last_update) for r in store.read(TABLES["cik_last_update"]).collect()) == [(12, "2024-05-06"), (13, "2024-05-06")]
+
+
+def test_catalogue(spark):
+    codes = catalog.catalogue(spark)
+    assert codes.count() == codes.select("code").distinct().count() and codes.where("code = 'D/A' and amended").count() == 1
+    own = catalog.catalogue(spark, {"first": "X, Y", "second": "Y"})
+    assert own.where("code = 'Y'").first().family == "second"
+    filings = spark.createDataFrame([("D",), ("10-K",), ("??",)], "form string")
+    assert {r.form: r.reason for r in catalog.dispatch(filings, codes).collect()} == {"D": None, "10-K": "no parser", "??": "form not found"}
+    assert [r.form for r in catalog.unknown_forms(filings, codes).collect()] == ["??"]
