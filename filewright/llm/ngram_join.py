@@ -7,7 +7,7 @@ one of least estimated cost: longer prefixes give more matches to count, but ask
 verified.
 
 A group of near copies would make as many pairs as the square of its size. So the documents of an n-gram are first
-verified against one of them alone, the hub; pairs are then only sought between documents whose components still
+verified against one of them alone, the hub, then against a second one that the first didn't reach; pairs are then only sought between documents whose components still
 differ. Components, not pairs, are the result: what is left out joins documents that are joined already.
 """
 
@@ -104,7 +104,7 @@ def _prefixes(docs: DataFrame, width: int, sketch: np.ndarray, num: int, den: in
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, grams) of the documents in ``ids(id)``."""
+    """(id, grams) of the documents in ``ids(id)``, and of few others that share their hash."""
     schema = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -113,20 +113,30 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
 
     maybe, _ = split_by(_texts(docs), "doc_id", ids, "id")
-    return maybe.mapInArrow(run, "id long, grams array<long>").join(ids, "id", "left_semi")
+    return maybe.mapInArrow(run, "id long, grams array<long>")
 
 
 def _linked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Those of ``pairs(x, y)`` whose sets reach the similarity num / den."""
     ids = cut(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "join-ids")
     sets = cut(_sets(docs, ids, width), "join-sets")
-    of = lambda c: sets.select(F.col("id").alias(c), F.col("grams").alias(f"{c}s"))
+    of = lambda c: sets.select(F.col("id").alias(c), F.col("grams").alias(f"{c}s")).hint("shuffle_merge")
     both = pairs.join(of("y"), "y").join(of("x"), "x")
     shared = F.size(F.array_intersect("xs", "ys")).cast("long")
     whole = F.size("xs").cast("long") + F.size("ys")
     return both.where(shared * (den + num) >= num * whole).select("x", "y").distinct()
 
 
+def _packed() -> Column:
+    """The place of an n-gram in its document's order, the document's number of n-grams and of matches, in one number."""
+    return F.shiftleft(F.col("at").cast("long"), 31).bitwiseOR(F.shiftleft(F.col("n"), 3)).bitwiseOR(F.col("ell").cast("long"))
+
+
+def _unpacked(c: str) -> list[Column]:
+    low = F.col(c).bitwiseAND(F.lit((1 << 31) - 1))
+    return [F.shiftright(low, 3).alias("n"), low.bitwiseAND(F.lit(7)).cast("int").alias("ell"), F.shiftright(c, 31).cast("int").alias("at")]
+
+
 def _alpha(n: Column, m: Column, num: int, den: int) -> Column:
     """The overlap that two sets of n and m need."""
     return F.ceil(F.lit(num) * (n + m) / F.lit(den + num))
@@ -157,35 +167,38 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
     classes = cut(rows.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "join-classes")
 
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    first = _prefixes(docs, width, sketch, num, den).join(reps, "doc_id", "left_semi")
-    grams = first.select("doc_id", "n", "ell", F.posexplode("grams").alias("at", "gram"))
-    often = grams.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select(F.col("gram").alias("g"))
-    shared = cut(grams.join(often, F.col("gram") == F.col("g"), "left_semi"), "join-shared")
-
-    # each n-gram's hub: of its documents the one with most n-grams that others share
-    fame = shared.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("fame"))
-    ranked = shared.join(fame, F.col("doc_id") == F.col("d"))
-    hubs = ranked.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("minus"), "n", "ell", "at")).alias("hub"))
-    hubs = hubs.select("g", (-F.col("hub.minus")).alias("hub_id"), F.col("hub.n").alias("n"), F.col("hub.ell").alias("ell"), F.col("hub.at").alias("at"))
-    a, b = shared.alias("a"), hubs.alias("b")
-    pairs = a.join(b, F.col("a.gram") == F.col("b.g")).where((F.col("a.doc_id") != F.col("b.hub_id")) & _may_match("a", "b", num, den))
-    pairs = cut(pairs.select(F.least("a.doc_id", "b.hub_id").alias("x"), F.greatest("a.doc_id", "b.hub_id").alias("y")).distinct(), "join-pairs")
+    first = _prefixes(docs, width, sketch, num, den).join(reps.hint("shuffle_merge"), "doc_id", "left_semi")
+    grams = first.select("doc_id", "n", "ell", F.posexplode("grams").alias("at", "gram")).select("gram", "doc_id", _packed().alias("meta"))
+    # the hub of an n-gram: the document in whose order it stands first, as near copies put their own changes before it
+    hubs = grams.groupBy(F.col("gram").alias("g")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("meta", "doc_id")).alias("hub")).where("lo < hi").select("g", "hub")
+    both = cut(grams.join(hubs.hint("shuffle_merge"), F.col("gram") == F.col("g")).select("gram", "doc_id", "meta", F.col("hub.doc_id").alias("hub_id"), F.col("hub.meta").alias("hub_meta")), "join-shared")
+    shared = both.select("gram", "doc_id", *_unpacked("meta"))
+    a = both.select("doc_id", F.struct(*_unpacked("meta")).alias("a"), "hub_id", F.struct(*_unpacked("hub_meta")).alias("b"))
+    pairs = a.where((F.col("doc_id") != F.col("hub_id")) & _may_match("a", "b", num, den))
+    pairs = cut(pairs.select(F.least("doc_id", "hub_id").alias("x"), F.greatest("doc_id", "hub_id").alias("y")).distinct(), "join-pairs")
     links = cut(_linked(docs, pairs, width, num, den), "join-links")
-    comps = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "join-components")
 
-    # pairs between documents that are not joined yet
-    placed = shared.join(comps, F.col("doc_id") == F.col("node"), "left").select("gram", "doc_id", "n", "ell", "at", F.coalesce("comp", "doc_id").alias("comp"))
-    sizes = placed.groupBy("gram", "comp").agg(F.count("*").alias("k"))
-    mixed = sizes.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("g", F.col("top.comp").alias("top"))
-    open_ = cut(placed.join(mixed, F.col("gram") == F.col("g")).drop("g"), "join-open")
-    a, b = open_.where("comp <> top").alias("a"), open_.alias("b")
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.top")) | (F.col("a.doc_id") < F.col("b.doc_id"))) & _may_match("a", "b", num, den))
-    met = met.select(F.least("a.doc_id", "b.doc_id").alias("x"), F.greatest("a.doc_id", "b.doc_id").alias("y"), F.least("a.ell", "b.ell").alias("ell"))
-    more = met.groupBy("x", "y").agg(F.count("*").alias("k"), F.max("ell").alias("ell")).where("k >= ell").select("x", "y")
-    more = cut(more.join(pairs, ["x", "y"], "left_anti"), "join-more")
-    late = _linked(docs, more, width, num, den)
-    edges = links.union(late).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    comps = components(edges, "join-components")
+    # the same with a hub among the documents outside the largest component of an n-gram; then all that are left
+    for last in (False, True):
+        comps = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "join-components")
+        placed = shared.join(comps, F.col("doc_id") == F.col("node"), "left").select("gram", "doc_id", "n", "ell", "at", F.coalesce("comp", "doc_id").alias("comp"))
+        sizes = placed.groupBy("gram", "comp").agg(F.count("*").alias("k"), F.min(F.struct("at", "doc_id", "n", "ell")).alias("best"))
+        mixed = sizes.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("g", F.col("top.comp").alias("top"))
+        if last:
+            open_ = cut(placed.join(mixed, F.col("gram") == F.col("g")).drop("g"), "join-open")
+            a, b = open_.where("comp <> top").alias("a"), open_.alias("b")
+            met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.top")) | (F.col("a.doc_id") < F.col("b.doc_id"))) & _may_match("a", "b", num, den))
+            met = met.select(F.least("a.doc_id", "b.doc_id").alias("x"), F.greatest("a.doc_id", "b.doc_id").alias("y"), F.least("a.ell", "b.ell").alias("ell"))
+            more = met.groupBy("x", "y").agg(F.count("*").alias("k"), F.max("ell").alias("ell")).where("k >= ell").select("x", "y")
+        else:
+            rest = sizes.join(mixed, F.col("gram") == F.col("g")).where("comp <> top").groupBy(F.col("gram").alias("g")).agg(F.min(F.struct("best", "comp")).alias("hub"))
+            b = rest.select("g", F.col("hub.comp").alias("hub_comp"), F.col("hub.best").alias("b"))
+            met = placed.join(b, F.col("gram") == F.col("g")).where(F.col("comp") != F.col("hub_comp")).select("doc_id", F.struct("n", "ell", "at").alias("a"), "b")
+            more = met.where(_may_match("a", "b", num, den)).select(F.least("doc_id", "b.doc_id").alias("x"), F.greatest("doc_id", "b.doc_id").alias("y")).distinct()
+        more = cut(more.join(pairs, ["x", "y"], "left_anti"), "join-more")
+        links = cut(links.union(_linked(docs, more, width, num, den)), "join-links")
+        pairs = pairs.union(more)
+    comps = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "join-components")
 
     out = rows.join(classes, "digest", "left").join(comps, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id")).alias("component_id"))
