@@ -19,7 +19,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import small_batches
+from filewright.llm.common import small_batches, worker_state
 
 CACHE_ENTRIES = 400_000
 _LOW = (1 << 64) - 1
@@ -133,7 +133,6 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
 _TABLES: dict[str, tuple[dict[bytes, int], PerfectHash]] = {}
 
 
@@ -147,13 +146,6 @@ def _tables(path: str) -> tuple[str, dict[bytes, int], PerfectHash]:
     return digest, *_TABLES[digest]
 
 
-def _codec(digest: str, tables, pattern: str) -> Codec:
-    """One codec for each vocabulary in a Python worker."""
-    if (digest, pattern) not in _CODECS:
-        _CODECS[digest, pattern] = Codec(*tables.value, pattern)
-    return _CODECS[digest, pattern]
-
-
 def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every whole text and decode the ids again.
 
@@ -174,7 +166,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
     ddl = f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches):
-        codec = _codec(digest, tables, pattern)
+        codec = worker_state(f"bpe {digest} {pattern}", lambda: Codec(*tables.value, pattern))
         for batch in batches:
             rows = [[], [], []]
             ids = []

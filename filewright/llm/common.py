@@ -99,6 +99,17 @@ def split_by(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tup
     return marked.where("__maybe").select(*df.columns), marked.where("NOT __maybe").select(*df.columns)
 
 
+_WORKER: dict = {}
+
+
+def worker_state(name: str, build):
+    """What a task of an operator keeps in its Python worker; a worker holds the state of one operator at a time."""
+    if name not in _WORKER:
+        _WORKER.clear()
+        _WORKER[name] = build()
+    return _WORKER[name]
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import mix64, rolling, small_batches
+from filewright.llm.common import mix64, rolling, small_batches, worker_state
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -163,9 +163,6 @@ def _blocks(benchmark: DataFrame, block_words: int):
         yield held
 
 
-_LOADED: dict = {}
-
-
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words): the benchmark items that documents hold, with the best window.
 
@@ -185,11 +182,9 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: f
         shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches, shared=shared, name=name):
-            if name not in _LOADED:
-                _LOADED.clear()
-                _LOADED[name] = Index(shared.value, width, threshold, radius)
+            index = worker_state(name, lambda: Index(shared.value, width, threshold, radius))
             for batch in batches:
-                rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in _LOADED[name].search(t)]
+                rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in index.search(t)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -210,11 +205,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
         shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches, shared=shared, name=name):
-            if name not in _LOADED:
-                _LOADED.clear()
-                _LOADED[name] = Index(shared.value, width, threshold, radius)
+            index = worker_state(name, lambda: Index(shared.value, width, threshold, radius))
             for batch in batches:
-                clean = [not _LOADED[name].search(t) for t in batch.column("__text").to_pylist()]
+                clean = [not index.search(t) for t in batch.column("__text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(run, ddl)

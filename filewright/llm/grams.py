@@ -129,6 +129,12 @@ class Tree:
         self.suffix = np.where(size > 1, self.rows(shorter | (body & ((np.int64(1) << (8 * (size - 1))) - 1))), -1)
         self.starts = (body >> (8 * (size - 1))) == 32  # whether it begins with the space before a word
 
+    def keys_only(self) -> Tree:
+        """The tree without its pointers, for scoring."""
+        out = object.__new__(Tree)
+        out.grams, out.order = self.grams, self.order
+        return out
+
     def rows(self, wanted: np.ndarray) -> np.ndarray:
         """The row of each key, -1 for those that are none of the grams."""
         if not len(self.grams):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filewright.llm import grams
-from filewright.llm.common import crc_mod, cut, small_batches
+from filewright.llm.common import crc_mod, cut, small_batches, worker_state
 
 ORDER = 5
 UNKNOWN = "und"
@@ -27,7 +27,7 @@ class ContextTrees:
     """Code lengths in bits of words, by language, from gram counts (grams x languages)."""
 
     def __init__(self, tree: grams.Tree, counts: np.ndarray):
-        self.tree, n, width = tree, len(counts), counts.shape[1]
+        self.tree, n, width = tree.keys_only(), len(counts), counts.shape[1]
         parent = np.where(tree.context >= 0, tree.context, n)
         self.counts = counts.astype(np.float32)
         add = lambda w: np.stack([np.bincount(parent, w[:, c], n + 1) for c in range(width)], 1).astype(np.float32) if n else np.zeros((1, width), np.float32)
@@ -72,9 +72,6 @@ class ContextTrees:
         return out
 
 
-_LOADED: dict = {}
-
-
 def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
     """``docs`` with three more columns: held_out, lang_pred and score (0 to 1: how far the best code is ahead).
 
@@ -104,10 +101,7 @@ def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
     ddl = ", ".join(f"{c} {t}" for c, t in zip(cols, types)) + ", lang_pred string, score double"
 
     def run(batches):
-        if _LOADED.get("name") != name:
-            _LOADED.clear()
-            _LOADED.update(name=name, scores=grams.WordScores(shared.value.score, width))
-        scores = _LOADED["scores"]
+        scores = worker_state(name, lambda: grams.WordScores(shared.value.score, width))
         for batch in batches:
             texts = batch.column("__text").to_pylist()
             said = [bool(langs and t and _LETTER.search(t)) for t in texts]

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import small_batches
+from filewright.llm.common import small_batches, worker_state
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -257,9 +257,6 @@ def _sample(docs: DataFrame, most: int) -> list[tuple[list[str], list[int]]]:
     return rows
 
 
-_LOADED: dict = {}
-
-
 def find(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base, base_sha256 and spans.
 
@@ -275,10 +272,7 @@ def find(docs: DataFrame, training_docs: int = TRAINING_DOCS) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.string()), ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches):
-        if name not in _LOADED:
-            _LOADED.clear()
-            _LOADED[name] = shared.value
-        field = _LOADED[name]
+        field = worker_state(name, lambda: shared.value)
         for batch in batches:
             counts, bases, spans = [], [], []
             for text in batch.column(1).to_pylist():

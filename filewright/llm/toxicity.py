@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filewright.llm import grams
-from filewright.llm.common import crc_mod, cut, small_batches, split_by
+from filewright.llm.common import crc_mod, cut, small_batches, split_by, worker_state
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -34,7 +34,7 @@ class KneserNey:
     """Word log-likelihood ratios, toxic against ordinary, from gram counts (grams x [ordinary, toxic])."""
 
     def __init__(self, tree: grams.Tree, counts: np.ndarray):
-        self.tree = tree
+        self.tree = tree.keys_only()
         n, has = len(counts), tree.context >= 0
         parent = np.where(has, tree.context, n)  # the last row is the empty context
         seen = counts.sum(1) > 0
@@ -97,31 +97,27 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[flo
     return float(b[0]), float(max(b[1], 0.0))
 
 
-def _features(rows: DataFrame, keep: list[str], models: list, which: str, text: str) -> DataFrame:
-    """``keep`` and x, the evidence in ``text``; column ``which`` says by which model."""
+def _features(rows: DataFrame, keep: list[str], models: list, which: str, text: str):
+    """``keep`` and x, the evidence in ``text``; column ``which`` says by which model. Also the models' broadcast."""
     spark = rows.sparkSession
     shared, name = spark.sparkContext.broadcast(models), uuid.uuid4().hex
     types = {f.name: f.dataType for f in rows.schema}
     ddl = ", ".join(f"{c} {types[c].simpleString()}" for c in keep) + ", x double"
 
     def run(batches):
-        if _LOADED.get("name") != name:
-            _LOADED.clear()
-            _LOADED.update(name=name, scores=[grams.WordScores(m.score, 1) for m in shared.value])
+        held = worker_state(name, lambda: [grams.WordScores(m.score, 1) for m in shared.value])
         for batch in batches:
             x = np.zeros(batch.num_rows)
             model = batch.column(which).to_numpy(zero_copy_only=False)
             texts = batch.column(text).to_pylist()
-            for m, scores in enumerate(_LOADED["scores"]):
+            for m, scores in enumerate(held):
                 at = np.flatnonzero(model == m)
                 for i, ratios in zip(at, scores.of([grams.words_of(texts[i]) for i in at])):
                     x[i] = evidence(ratios[:, 0])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(x)], names=[*keep, "x"])
 
-    return rows.select(*dict.fromkeys([*keep, which, text])).mapInArrow(run, ddl)
-
-
-_LOADED: dict = {}
+    out = rows.select(*dict.fromkeys([*keep, which, text])).mapInArrow(run, ddl)
+    return out, shared
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int = CALIBRATION_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -149,13 +145,15 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     tree = grams.Tree(found, ORDER)
     rows = train.count()
     sample = train.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(max(rows, 1))) < calibration_rows)
-    seen = _features(sample, ["label"], [KneserNey(tree, n[:, :2]), KneserNey(tree, n[:, 2:])], "other", "text").toPandas()
+    seen, halves = _features(sample, ["label"], [KneserNey(tree, n[:, :2]), KneserNey(tree, n[:, 2:])], "other", "text")
+    seen = seen.toPandas()
+    halves.unpersist()
     a, b = fit_logistic(seen["x"].to_numpy(float), (seen["label"].to_numpy(int) % 2).astype(float))
     final = KneserNey(tree, n[:, :2] + n[:, 2:])
     docs = docs.drop("held_out", "score", "predicted")
     keep = docs.columns
     named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.coalesce(held_out, F.lit(False)).alias("held"), F.col("text").cast("string").alias("whole"), F.lit(0).alias("model"))
-    out = _features(named, [*(f"c{i}" for i in range(len(keep))), "held"], [final], "model", "whole")
+    out, _ = _features(named, [*(f"c{i}" for i in range(len(keep))), "held"], [final], "model", "whole")
     value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("held").alias("held_out"), value.alias("score"), (value >= threshold).cast("int").alias("predicted"))
 
