@@ -9,6 +9,9 @@ verified.
 A group of near copies would make as many pairs as the square of its size. So the documents of an n-gram are first
 verified against one of them alone, the hub, then against a second one that the first didn't reach; pairs are then only sought between documents whose components still
 differ. Components, not pairs, are the result: what is left out joins documents that are joined already.
+
+A pair's sets are only fetched if its parity signatures allow the similarity: each n-gram flips one bit, so the bits
+that differ are no more than the n-grams that differ. That turns down pairs by chance and never a link.
 """
 
 from __future__ import annotations
@@ -19,12 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filewright.llm.common import components, cut, mix64, rolling, small_batches, split_by
+from filewright.llm.common import components, cut, drop_cut, mix64, rolling, small_batches, split_by
 from filewright.llm.substring import word_hashes
 
 #: Counters of the frequency sketch: its size is fixed, whatever the data.
 SKETCH = 1 << 17
 MOST_MATCHES = 4
+#: Bits of a set's parity signature, kept as numbers of 64 bits.
+SIGNATURE = 1024
 #: Cost of verifying a candidate, in matches counted.
 VERIFY_COST = 8.0
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
@@ -42,6 +47,12 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(mix64(rolling(word_hashes(words), n, _BASE[n % len(_BASE)]) + np.uint64(n)))
 
 
+def signature(grams: np.ndarray) -> np.ndarray:
+    """A bit for each residue of the n-grams' upper halves: whether an odd number of them has it."""
+    odd = np.bincount(((grams >> np.uint64(32)) % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix(grams: np.ndarray, sketch: np.ndarray, noise: float, num: int, den: int) -> tuple[np.ndarray, int]:
     """The prefix of a set of n-grams in the global order, and the number of matches asked for."""
     seen = sketch[(grams % np.uint64(SKETCH)).astype(np.int64)]
@@ -61,24 +72,25 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _scan(docs: DataFrame, width: int) -> DataFrame:
-    """(kind, a, b, digest): for each row its id, set size and digest (kind 0); counters of the sketch (kind 1)."""
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("digest", pa.binary())])
+    """(kind, a, b, digest, bits): for each row its id, set size, digest and signature (kind 0); counters of the sketch (kind 1)."""
+    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("digest", pa.binary()), ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            sizes, digests = [], []
+            sizes, digests, bits = [], [], []
             for text in batch.column(1).to_pylist():
                 grams = shingles(text, width)
                 sizes.append(len(grams))
                 digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
+                bits.append(signature(grams))
                 np.add.at(counts, (grams % np.uint64(SKETCH)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.list_(pa.int64()))], schema=schema)
         used = np.flatnonzero(counts)
         if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.array(used), pa.array(counts[used]), pa.array([None] * len(used), pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.array(used), pa.array(counts[used]), pa.nulls(len(used), pa.binary()), pa.nulls(len(used), pa.list_(pa.int64()))], schema=schema)
 
-    return _texts(docs).mapInArrow(run, "kind int, a long, b long, digest binary")
+    return _texts(docs).mapInArrow(run, "kind int, a long, b long, digest binary, bits array<long>")
 
 
 def _prefixes(docs: DataFrame, width: int, sketch: np.ndarray, num: int, den: int) -> DataFrame:
@@ -116,15 +128,30 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return maybe.mapInArrow(run, "id long, grams array<long>")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Those of ``pairs(x, y)`` whose sets reach the similarity num / den."""
+def _likely(signed: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs(x, y)`` whose signatures in ``signed(doc_id, n, bits)`` allow the similarity num / den."""
+    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
+    wanted, _ = split_by(signed, "doc_id", ids, "id")
+    of = lambda c: wanted.select(F.col("doc_id").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}b")).hint("shuffle_merge")
+    both = pairs.join(of("y"), "y").join(of("x"), "x")
+    differ = sum(F.bit_count(F.col("xb")[i].bitwiseXOR(F.col("yb")[i])) for i in range(SIGNATURE // 64))
+    whole = F.col("xn") + F.col("yn")
+    return both.where((whole - differ) * (den + num) >= 2 * num * whole).select("x", "y").distinct()
+
+
+def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Those of ``pairs(x, y)`` whose sets reach the similarity num / den; written, so that the sets can go."""
+    pairs = cut(_likely(signed, pairs, num, den), "join-likely")
     ids = cut(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "join-ids")
     sets = cut(_sets(docs, ids, width), "join-sets")
     of = lambda c: sets.select(F.col("id").alias(c), F.col("grams").alias(f"{c}s")).hint("shuffle_merge")
     both = pairs.join(of("y"), "y").join(of("x"), "x")
     shared = F.size(F.array_intersect("xs", "ys")).cast("long")
     whole = F.size("xs").cast("long") + F.size("ys")
-    return both.where(shared * (den + num) >= num * whole).select("x", "y").distinct()
+    links = cut(both.where(shared * (den + num) >= num * whole).select("x", "y").distinct(), "join-links")
+    for used in (pairs, ids, sets):
+        drop_cut(used)
+    return links
 
 
 def _packed() -> Column:
@@ -161,6 +188,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
     small_batches(docs.sparkSession)
     scan = cut(_scan(docs, width), "join-scan")
     rows = scan.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "digest")
+    signed = scan.where("kind = 0 and a is not null and b > 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "bits")
     sketch = np.zeros(SKETCH, np.int64)
     sums = scan.where("kind = 1").groupBy("a").agg(F.sum("b").alias("b")).toArrow()
     sketch[sums.column("a").to_numpy()] = sums.column("b").to_numpy()
@@ -176,7 +204,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
     a = both.select("doc_id", F.struct(*_unpacked("meta")).alias("a"), "hub_id", F.struct(*_unpacked("hub_meta")).alias("b"))
     pairs = a.where((F.col("doc_id") != F.col("hub_id")) & _may_match("a", "b", num, den))
     pairs = cut(pairs.select(F.least("doc_id", "hub_id").alias("x"), F.greatest("doc_id", "hub_id").alias("y")).distinct(), "join-pairs")
-    links = cut(_linked(docs, pairs, width, num, den), "join-links")
+    links = _linked(docs, signed, pairs, width, num, den)
 
     # the same with a hub among the documents outside the largest component of an n-gram; then all that are left
     for last in (False, True):
@@ -196,7 +224,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
             met = placed.join(b, F.col("gram") == F.col("g")).where(F.col("comp") != F.col("hub_comp")).select("doc_id", F.struct("n", "ell", "at").alias("a"), "b")
             more = met.where(_may_match("a", "b", num, den)).select(F.least("doc_id", "b.doc_id").alias("x"), F.greatest("doc_id", "b.doc_id").alias("y")).distinct()
         more = cut(more.join(pairs, ["x", "y"], "left_anti"), "join-more")
-        links = cut(links.union(_linked(docs, more, width, num, den)), "join-links")
+        links = links.union(_linked(docs, signed, more, width, num, den))
         pairs = pairs.union(more)
     comps = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "join-components")
 
