@@ -30,6 +30,8 @@ SKETCH = 1 << 17
 MOST_MATCHES = 4
 #: Bits of a set's parity signature, kept as numbers of 64 bits.
 SIGNATURE = 1024
+#: Numbers of 64 bits that a signature folds to where each shared n-gram carries it; the fold has the same bound.
+FOLD = 4
 #: Cost of verifying a candidate, in matches counted.
 VERIFY_COST = 8.0
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
@@ -134,9 +136,29 @@ def _likely(signed: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFram
     wanted, _ = split_by(signed, "doc_id", ids, "id")
     of = lambda c: wanted.select(F.col("doc_id").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}b")).hint("shuffle_merge")
     both = pairs.join(of("y"), "y").join(of("x"), "x")
-    differ = sum(F.bit_count(F.col("xb")[i].bitwiseXOR(F.col("yb")[i])) for i in range(SIGNATURE // 64))
-    whole = F.col("xn") + F.col("yn")
-    return both.where((whole - differ) * (den + num) >= 2 * num * whole).select("x", "y").distinct()
+    bits = [(F.col("xb")[i], F.col("yb")[i]) for i in range(SIGNATURE // 64)]
+    return both.where(_may_reach(bits, F.col("xn") + F.col("yn"), num, den)).select("x", "y").distinct()
+
+
+def _may_reach(bits: list[tuple[Column, Column]], whole: Column, num: int, den: int) -> Column:
+    """Whether two signatures, whose sets have ``whole`` n-grams together, allow the similarity."""
+    differ = sum(F.bit_count(x.bitwiseXOR(y)) for x, y in bits)
+    return (whole - differ) * (den + num) >= 2 * num * whole
+
+
+def _folded(signed: DataFrame) -> DataFrame:
+    """(sid, s0, s1, ...) for each document; null numbers, which allow all, for an id of several rows."""
+    step = SIGNATURE // 64 // FOLD
+    rows = signed.select("doc_id", *(_xor([F.col("bits")[i * step + k] for k in range(step)]).alias(f"s{i}") for i in range(FOLD)))
+    one = rows.groupBy("doc_id").agg(F.count("*").alias("k"), *(F.min(f"s{i}").alias(f"s{i}") for i in range(FOLD)))
+    return one.select(F.col("doc_id").alias("sid"), *(F.when(F.col("k") == 1, F.col(f"s{i}")).alias(f"s{i}") for i in range(FOLD)))
+
+
+def _xor(parts: list[Column]) -> Column:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.bitwiseXOR(part)
+    return out
 
 
 def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -213,9 +235,12 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
         sizes = placed.groupBy("gram", "comp").agg(F.count("*").alias("k"), F.min(F.struct("at", "doc_id", "n", "ell")).alias("best"))
         mixed = sizes.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("g", F.col("top.comp").alias("top"))
         if last:
-            open_ = cut(placed.join(mixed, F.col("gram") == F.col("g")).drop("g"), "join-open")
+            known = placed.join(_folded(signed), F.col("doc_id") == F.col("sid"), "left").drop("sid")
+            open_ = cut(known.join(mixed, F.col("gram") == F.col("g")).drop("g"), "join-open")
+            bits = [(F.col(f"a.s{i}"), F.col(f"b.s{i}")) for i in range(FOLD)]
+            alike = F.coalesce(_may_reach(bits, F.col("a.n") + F.col("b.n"), num, den), F.lit(True))
             a, b = open_.where("comp <> top").alias("a"), open_.alias("b")
-            met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.top")) | (F.col("a.doc_id") < F.col("b.doc_id"))) & _may_match("a", "b", num, den))
+            met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.comp") != F.col("b.comp")) & ((F.col("b.comp") == F.col("b.top")) | (F.col("a.doc_id") < F.col("b.doc_id"))) & _may_match("a", "b", num, den) & alike)
             met = met.select(F.least("a.doc_id", "b.doc_id").alias("x"), F.greatest("a.doc_id", "b.doc_id").alias("y"), F.least("a.ell", "b.ell").alias("ell"))
             more = met.groupBy("x", "y").agg(F.count("*").alias("k"), F.max("ell").alias("ell")).where("k >= ell").select("x", "y")
         else:
