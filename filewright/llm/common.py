@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -110,6 +111,13 @@ def worker_state(name: str, build):
     return _WORKER[name]
 
 
+def release_worker_state() -> None:
+    """Let go of another operator's state, in a task of an operator that keeps none: workers outlive a job."""
+    if _WORKER:
+        _WORKER.clear()
+        gc.collect()
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filewright.llm.common import components, cut, drop_cut, mix64, rolling, small_batches, split_by
+from filewright.llm.common import components, cut, drop_cut, mix64, release_worker_state, rolling, small_batches, split_by
 from filewright.llm.substring import word_hashes
 
 #: Counters of the frequency sketch: its size is fixed, whatever the data.
@@ -78,6 +78,7 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("digest", pa.binary()), ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
+        release_worker_state()
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
             sizes, digests, bits = [], [], []
@@ -102,6 +103,7 @@ def _prefixes(docs: DataFrame, width: int, sketch: np.ndarray, num: int, den: in
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
+        release_worker_state()
         for batch in batches:
             ids, sizes, ells, out = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -122,6 +124,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches):
+        release_worker_state()
         for batch in batches:
             sets = [shingles(t, width).astype(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
