@@ -74,6 +74,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: What AQE merges small shuffle partitions up to: a task fetches and sorts about as much at a time.
+TASK_BYTES = 16 << 20
+
+
+def small_tasks(spark: SparkSession, most: int = TASK_BYTES) -> None:
+    """Bound what AQE merges into one task of an exchange; a smaller setting of the session stays."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > most:
+        spark.conf.set(key, str(most))
+
+
 def text_bytes(name: str = "text") -> Column:
     """A text as its UTF-8 bytes; null stays null."""
     return F.col(name).cast("binary")

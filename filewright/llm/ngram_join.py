@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filewright.llm.common import components, cut, drop_cut, mix64, release_worker_state, rolling, small_batches, split_by
+from filewright.llm.common import components, cut, drop_cut, mix64, release_worker_state, rolling, small_batches, small_tasks, split_by
 from filewright.llm.substring import word_hashes
 
 #: Counters of the frequency sketch: its size is fixed, whatever the data.
@@ -211,6 +211,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
     table gives an empty one. Other columns are ignored.
     """
     small_batches(docs.sparkSession)
+    small_tasks(docs.sparkSession)
     scan = cut(_scan(docs, width), "join-scan")
     rows = scan.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "digest")
     signed = scan.where("kind = 0 and a is not null and b > 0").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "bits")
