@@ -290,3 +290,21 @@ def test_pipeline(spark):
     assert decontam.find(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet")).count() == 0
     out = pipeline.STAGES[-1][1](spark, docs, SMALL).where(F.size("ids") != F.col("n_tokens"))
     assert out.count() == 0
+
+
+def test_signatures_bound_differences():
+    """Signatures and their folds differ in no more bits than the sets in n-grams, and by as many modulo two."""
+    import numpy as np
+
+    from filewright.llm.ngram_join import FOLD, signature
+
+    rng = np.random.default_rng(5)
+    bits = lambda v: sum(int(x).bit_count() for x in v.view(np.uint64))
+    for size, gone, new in ((0, 0, 0), (1, 1, 1), (60, 3, 5), (900, 40, 0), (20_000, 500, 700)):
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[min(gone, len(a)) :], rng.integers(0, 2**63, new, dtype=np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        whole = signature(a) ^ signature(b)
+        folded = np.bitwise_xor.reduce(whole.reshape(FOLD, -1), axis=1)
+        for n in (bits(whole), bits(folded)):
+            assert n <= apart and (apart - n) % 2 == 0
