@@ -1,7 +1,9 @@
 """Near-duplicate embeddings: spherical k-means cells and blocked cosine products within them.
 
-Centroids are fitted on a bounded sample; every vector has a home, the cell of its nearest centroid, and looks into
-the PROBES nearest cells. A cell compares its homes with each other and with the vectors that look into it, as matrix
+Centroids are fitted on a bounded sample; those within the threshold of each other share a cell, so a dense group is one
+cell, however many centroids it draws. Every vector has a home, the cell of its nearest centroid. It looks into the
+PROBES nearest cells at least, and into every cell that a vector at the threshold may call its home: there a neighbour's
+cosines stray, and a cell is left out only if that takes more than STRAY standard deviations. A cell compares its homes with each other and with the vectors that look into it, as matrix
 products of blocks of bounded size: a cell that holds a large part of all vectors becomes many tasks. A task returns
 link counts and a spanning forest of its links, never its pairs. Equal vectors are one vector with a weight.
 """
@@ -19,7 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from filewright.llm.common import components, cut
 
 THRESHOLD = 0.9
-PROBES = 8
+#: Cells, at least, that a vector looks into; how far a neighbour strays, in standard deviations.
+PROBES, STRAY = 8, 1.5
 #: Vectors, in the mean, to a cell; cells at most; vectors, at most, that fit the centroids.
 CELL, MOST_CELLS, SAMPLE = 400, 8192, 20_000
 #: Vectors of a block; an entry of a product takes 8 bytes.
@@ -51,6 +54,45 @@ def fit(rows: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     return centres
 
 
+def merged(centres: np.ndarray, threshold: float) -> np.ndarray:
+    """The cell of each centroid, from 0: chains of centroids within the threshold are one cell."""
+    k = len(centres)
+    near = np.concatenate([centres[at : at + 512] @ centres.T >= threshold for at in range(0, k, 512)])
+    root = np.arange(k)
+    while True:
+        low = np.minimum(np.concatenate([np.where(near[at : at + 512], root, k).min(1) for at in range(0, k, 512)]), root)
+        low = low[low]
+        if (low == root).all():
+            return np.unique(root, return_inverse=True)[1]
+        root = low
+
+
+def looks(rows: np.ndarray, centres: np.ndarray, cell_of: np.ndarray, threshold: float, probes: int) -> list[np.ndarray]:
+    """For each vector the cells that it looks into, its home first.
+
+    A vector with cosine t to y is t y + sqrt(1 - t^2) u with u across y: centroid c overtakes y's nearest one if u
+    makes up t times the gap of their cosines with y. For u in any direction that is normal, with a deviation of the
+    centroids' distance across y over sqrt(dim - 1).
+    """
+    order = np.argsort(cell_of, kind="stable")
+    starts = np.searchsorted(cell_of[order], np.arange(cell_of.max() + 1))
+    p, out = min(probes, len(starts)), []
+    t = min(max(threshold, 0.0), 1.0)
+    for at in range(0, len(rows), 256):
+        sims = rows[at : at + 256] @ centres.T
+        top = sims.argmax(1)
+        gap = sims.max(1, keepdims=True) - sims
+        across = np.sqrt(np.maximum(2 - 2 * (centres[top] @ centres.T) - gap**2, 0))
+        within = t * gap <= STRAY * math.sqrt((1 - t * t) / max(1, rows.shape[1] - 1)) * across
+        best = np.maximum.reduceat(sims[:, order], starts, axis=1)
+        seen = np.logical_or.reduceat(within[:, order], starts, axis=1)
+        np.put_along_axis(seen, np.argpartition(-best, p - 1, axis=1)[:, :p], True, 1)
+        for i, home in enumerate(cell_of[top]):
+            seen[i, home] = False
+            out.append(np.concatenate([[home], np.flatnonzero(seen[i])]).astype(np.int32))
+    return out
+
+
 def _scan(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, digest, dim, vec): digest, dim and vec are null for vectors that link with nothing."""
     kind = table.schema[vec_col].dataType.elementType.simpleString()
@@ -79,7 +121,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     """A row for each row of ``table``: vec_id, n_links, component_id and kept.
 
     Two vectors are linked if their cosine, in double precision, is ``threshold`` or more and one has its home among
-    the ``probes`` cells next to the other (recall is measured in the tests). component_id is the least id that links
+    the cells that the other looks into, ``probes`` at least (recall is measured in the tests). component_id is the least id that links
     reach; the row of that id is kept. Vectors that are null, empty, zero or hold null or non-finite components, and
     vectors of different lengths, are linked with nothing. Equal vectors (repeated rows too) are linked with each
     other and count as links one by one. A row without an id takes part in links, but is not kept and names no
@@ -113,23 +155,22 @@ def _cells(spark, classes: DataFrame, dim: int, n: int, dtype, threshold: float,
     k = max(1, min(MOST_CELLS, math.ceil(n / cell)))
     some = classes.where(F.pmod(F.xxhash64("digest"), F.lit(n)) < sample).select("vec").limit(2 * sample).toArrow().column("vec").to_pylist()
     some = some or classes.select("vec").limit(1).toArrow().column("vec").to_pylist()
-    centres = spark.sparkContext.broadcast(fit(unit(np.frombuffer(b"".join(sorted(some)), dtype), dim), k))
-    p = min(probes, len(centres.value))
+    fitted = fit(unit(np.frombuffer(b"".join(sorted(some)), dtype), dim), k)
+    cell_of = merged(fitted, threshold)
+    n_cells = int(cell_of.max()) + 1
+    centres = spark.sparkContext.broadcast((fitted, cell_of))
     placed_schema = pa.schema([("digest", pa.binary()), ("copies", pa.int64()), ("vec", pa.binary()), ("cells", pa.list_(pa.int32()))])
 
     def place(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sims = unit(np.frombuffer(b"".join(batch.column("vec").to_pylist()), dtype), dim) @ centres.value.T
-            some = np.argpartition(-sims, p - 1, axis=1)[:, :p]
-            order = np.argsort(-np.take_along_axis(sims, some, 1), axis=1, kind="stable")
-            cells = np.take_along_axis(some, order, 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("copies"), batch.column("vec"), pa.array(list(cells), pa.list_(pa.int32()))], schema=placed_schema)
+            cells = looks(unit(np.frombuffer(b"".join(batch.column("vec").to_pylist()), dtype), dim), *centres.value, threshold, probes)
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("copies"), batch.column("vec"), pa.array(cells, pa.list_(pa.int32()))], schema=placed_schema)
 
     placed = cut(classes.select("digest", "copies", "vec").mapInArrow(place, "digest binary, copies long, vec binary, cells array<int>"), "embed-placed")
     seen = placed.select(F.posexplode("cells").alias("at", "cell")).groupBy("cell").agg(F.sum((F.col("at") == 0).cast("long")).alias("homes"), F.sum((F.col("at") > 0).cast("long")).alias("guests")).collect()
-    home_blocks, guest_blocks = np.ones(len(centres.value), np.int64), np.ones(len(centres.value), np.int64)
+    home_blocks, guest_blocks = np.ones(n_cells, np.int64), np.ones(n_cells, np.int64)
     for r in seen:  # a row for each cell
         home_blocks[r.cell], guest_blocks[r.cell] = max(1, -(-r.homes // block)), max(1, -(-r.guests // (2 * block)))
     blocks = spark.sparkContext.broadcast((home_blocks, guest_blocks))

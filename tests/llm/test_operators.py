@@ -272,6 +272,25 @@ def test_embedding_recall(spark):
         assert (found <= linked).all() and found.sum() >= 0.97 * linked.sum() > 0
 
 
+def test_embedding_recall_with_many_cells(spark):
+    """A third of the rows is one group of near vectors, which draws a third of the centroids; pairs at 0.9 lie apart."""
+    rng = np.random.default_rng(6)
+    rows = lambda n: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.normal(size=(n, 64)))
+    alone = rows(1500)
+    across = rng.normal(size=alone.shape)
+    across -= (across * alone).sum(1, keepdims=True) * alone
+    pairs = 0.902 * alone + np.sqrt(1 - 0.902**2) * across / np.linalg.norm(across, axis=1, keepdims=True)
+    x = np.concatenate([np.sqrt(0.95) * rows(1) + np.sqrt(0.05) * rows(1500), alone, pairs]).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = (unit @ unit.T >= embed.THRESHOLD).sum(1) - 1
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in embed.near_duplicates(table, cell=9, sample=1500).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= linked).all()
+    for group in (slice(0, 1500), slice(1500, None)):
+        assert found[group].sum() >= 0.99 * linked[group].sum() > 0, found[group].sum() / linked[group].sum()
+
+
 def test_substring_intervals():
     assert substring.intervals(np.array([5, 1, 2, 60, 200]), 50) == [(1, 55), (60, 110), (200, 250)] and substring.intervals(np.array([], int), 50) == []
 
