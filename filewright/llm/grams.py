@@ -3,8 +3,8 @@
 A word is a run without white space; it is modelled with a space before and after it, and contexts never reach
 further back than the space before. A gram of k bytes is packed exactly into 64 bits (k, then the bytes), so counts
 don't collide. Counting takes every word of every row: Python counts the words of a partition, breaks the distinct
-ones into grams and sums those; Spark adds the partitions up. What the driver gets is bounded by ``MAX_GRAMS``: above
-it the rarest grams are pruned, by a count that is found from a histogram.
+ones into grams and sums those; Spark adds the partitions up. A model holds every gram, rare ones as well: it grows
+with the distinct grams of the input.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-#: At most so many grams make up a model; rarer ones are pruned.
-MAX_GRAMS = 1_500_000
 #: A longer run of bytes is cut into pieces of this length.
 PIECE = 4096
 #: A partition breaks its words into grams whenever it holds so many distinct ones.
@@ -96,24 +94,15 @@ def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", tex
     return parts.groupBy("gram").agg(*(F.sum(f"n{c}").alias(f"n{c}") for c in range(n_classes)))
 
 
-def collect(counts: DataFrame, n_classes: int, most: int = MAX_GRAMS) -> tuple[np.ndarray, np.ndarray]:
-    """The grams, ascending, and their counts (grams x classes): all of them, or the most frequent ``most``.
-
-    ``counts`` must be a table that was written: it is read twice. A gram's prefixes and suffixes are at least as
-    frequent as itself, so a pruned model still holds every context of its grams.
-    """
-    total = sum((F.col(f"n{c}") for c in range(1, n_classes)), F.col("n0"))
-    steps = counts.groupBy(F.floor(F.log2(total) * 8).alias("step")).agg(F.count("*").alias("n")).collect()
-    floor, held = -1, 0
-    for step, n in sorted(((r.step, r.n) for r in steps), reverse=True):
-        if held + n > most:
-            floor = step
-            break
-        held += n
-    table = counts.where(F.floor(F.log2(total) * 8) > floor).toArrow()
+def collect(counts: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams, ascending, and their counts (grams x classes): all of them."""
+    table = counts.toArrow()
     grams = table.column("gram").to_numpy().astype(np.int64)
     order = np.argsort(grams)
-    return grams[order], np.stack([table.column(f"n{c}").to_numpy() for c in range(n_classes)], 1).astype(np.float64)[order] if len(grams) else np.zeros((0, n_classes))
+    n = np.empty((len(grams), n_classes))
+    for c in range(n_classes):
+        n[:, c] = table.column(f"n{c}").to_numpy()[order]
+    return grams[order], n
 
 
 class Tree:

@@ -257,6 +257,14 @@ def test_ppm_is_a_code():
     assert model.score([b"abra"])[0, 0] < model.score([b"qqqq"])[0, 0]
 
 
+def test_models_hold_every_gram(spark):
+    """However many grams there are, the rarest of the smallest class stay."""
+    n = 1_600_000
+    counts = spark.range(n).select(F.col("id").alias("gram"), F.when(F.col("id") % 2 == 0, 3).otherwise(0).cast("long").alias("n0"), (F.col("id") % 2).alias("n1"))
+    found, per = grams.collect(counts, 2)
+    assert (found == np.arange(n)).all() and per.sum(0).tolist() == [3 * n / 2, n / 2]
+
+
 def test_embedding_recall(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(2500, 64))
