@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 RATIO = 0.1
+#: The floor of the query op8_line_dedup, whose SQL has it; the operator has none.
 MIN_PAGES = 20
 
 
@@ -22,7 +23,7 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(line, F.lit(1)).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = 1) -> DataFrame:
     """(host, lines): for each host, the keys of its boilerplate lines.
 
     A host's pages hold, in the mean, m distinct lines; as each boilerplate line takes more than ``ratio`` of the
@@ -38,12 +39,13 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     )
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = 1) -> DataFrame:
     """``docs`` with its boilerplate lines dropped from the text, and two more columns: n_lines and n_dropped.
 
     Lines are separated by a line feed; blank lines are never boilerplate. Frequencies are of the host's pages that
-    contain the line, once a page, over all its pages (a page without text counts). Pages of hosts below
-    ``min_pages`` keep every line: a share of a few pages says nothing. A null host is a host of its own; a null
+    contain the line, once a page, over all its pages (a page without text counts). However few pages a host has, the
+    share decides, but a line on one page alone is never boilerplate. Hosts of fewer than ``min_pages`` pages keep
+    every line. A null host is a host of its own; a null
     text stays null with no lines; repeated rows are pages each; an empty table gives an empty one. Every row and
     every other column stays (n_lines and n_dropped are replaced).
     """

@@ -90,6 +90,16 @@ def test_line_dedup(docs, none, spark):
     assert rows[30].text == "menu" and rows[31].text is None and rows[31].n_lines == 0 and rows[32].text == "menu"
 
 
+def test_line_dedup_on_small_hosts(spark):
+    pages = [(100 * n + i, f"menu {n}\nown {n} {i}", f"h{n}") for n in (1, 2, 9, 19) for i in range(n)]
+    pages += [(5000 + i, f"{'pair' if i < 2 else 'alone'} {i // 2}\nown {i}", "h20") for i in range(20)]
+    df = spark.createDataFrame(pages, "doc_id long, text string, source string")
+    rows = {r.doc_id: r for r in linededup.drop_boilerplate(df).collect()}
+    for i, text, host in pages:
+        plate = host in ("h2", "h9", "h19")
+        assert (rows[i].text, rows[i].n_dropped) == ((text.split("\n")[1], 1) if plate else (text, 0)), (i, host)
+
+
 def test_decontamination(docs, none, spark):
     items = spark.createDataFrame([(1, " ".join(f"WORD{i}," for i in range(30, 60))), (2, None), (3, ""), (4, "no id"), (5, "unseen words of another kind entirely")], "item_id long, text string")
     rows = decontam.find(docs, items).collect()
