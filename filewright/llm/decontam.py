@@ -5,7 +5,8 @@ bits over their weighted word shingles. Items are indexed by the eight bytes of
 fingerprints differ in at most RADIUS bits, some byte differs in at most RADIUS // 8, so probing all such values of
 each byte finds every item within the radius. What is found is verified by the exact weighted Jaccard similarity of
 the shingles. A window that shares no shingle with any item has similarity 0, so fingerprints are only made for the
-windows around a shared shingle.
+windows around a shared shingle. A document of fewer words than the item is one window, its whole text; it is compared
+with every such item that it shares a shingle with, without a fingerprint.
 """
 
 from __future__ import annotations
@@ -117,6 +118,7 @@ class Index:
             return []
         h = _hashes(words)
         best: dict[int, tuple[float, int]] = {}
+        whole: set[int] = set()  # items of more words than the text
         for k, known in self.sorted.items():
             shingles = shingle_hashes(h, k)
             at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
@@ -125,17 +127,27 @@ class Index:
                 continue
             spans: dict[int, list[int]] = defaultdict(list)  # number of words, places of shingles shared with such items
             for place in hits.tolist():
-                for n in {self.items[i][1] for i in self.by_shingle[k][int(shingles[place])]}:
-                    spans[n].append(place)
+                sharing = self.by_shingle[k][int(shingles[place])]
+                for n in {self.items[i][1] for i in sharing}:
+                    if n <= len(words):
+                        spans[n].append(place)
+                whole.update(i for i in sharing if self._longer(i, len(shingles)))
             for n, places in spans.items():
                 self._windows(shingles, n, n - k + 1, np.array(places), best)
-        return [(self.items[i][0], s, start, self.items[i][1]) for i, (s, start) in sorted(best.items())]
+            for i in whole:
+                if (s := similarity(shingles, self.items[i][2])) >= self.threshold:
+                    best[i] = (s, 0)
+            whole.clear()
+        return [(self.items[i][0], s, start, min(self.items[i][1], len(words))) for i, (s, start) in sorted(best.items())]
+
+    def _longer(self, i: int, n: int) -> bool:
+        """Whether an item has more than ``n`` shingles, but not too many for the threshold."""
+        size = len(self.items[i][2])
+        return size > n and n / size >= self.threshold
 
     def _windows(self, shingles: np.ndarray, n: int, size: int, places: np.ndarray, best: dict) -> None:
         """Judge the windows of ``size`` shingles that hold one of the places."""
         last = len(shingles) - size
-        if last < 0:
-            return
         for run in np.split(places, np.flatnonzero(np.diff(places) > size) + 1):
             lo, hi = max(0, int(run[0]) - size + 1), min(last, int(run[-1]))
             for part in range(lo, hi + 1, 4096):
@@ -166,9 +178,9 @@ def _blocks(benchmark: DataFrame, block_words: int):
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words): the benchmark items that documents hold, with the best window.
 
-    A window of as many words as the item has counts if the weighted Jaccard similarity of ``width``-word shingles is
+    A window of as many words as the item has, or the whole of a shorter document, counts if the weighted Jaccard similarity of ``width``-word shingles is
     ``threshold`` or more; of equal ones the first is told. Items of fewer words than the width are one shingle.
-    Items without words are found nowhere; documents that are null, empty or shorter than an item hold it not;
+    Items without words are found nowhere; documents that are null or empty hold none;
     repeated rows are judged each; an empty table or benchmark gives no rows. Other columns are ignored. Benchmarks
     of any size are compared in blocks of ``block_words`` words, each broadcast by itself.
     """

@@ -156,6 +156,32 @@ def test_decontamination_is_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.find(df, bench, block_words=200).collect()} == expect  # in blocks of items
 
 
+def test_decontamination_of_shorter_documents(spark):
+    """A document that is the item less some words, at either end, is compared as a whole."""
+    bench = spark.read.parquet(f"{MIDDLE}/benchmark.parquet")
+    items = {r.item_id: decontam.words_of(r.text) for r in bench.collect()}
+    items |= {10**6: [f"w{i}" for i in range(30)], 10**6 + 1: ["one", "two", "three"], 10**6 + 2: ["again"] * 40}
+    docs = {}
+    for i, item in list(items.items())[:12] + list(items.items())[-3:]:
+        for less in (1, 2, 4, 6, 9):
+            for part in (item[less:], item[:-less], item[: len(item) // 2] + item[len(item) // 2 + less :]):
+                docs[len(docs)] = part
+    expect = {}
+    for d, words in docs.items():
+        for i, item in items.items():
+            k = min(5, len(item))
+            own, all_ = (list(zip(*(w[j:] for j in range(k)))) for w in (item, words))
+            m = min(len(own), len(all_))
+            best = max((sum((Counter(all_[a : a + m]) & Counter(own)).values()) / sum((Counter(all_[a : a + m]) | Counter(own)).values()) for a in range(len(all_) - m + 1)), default=0)
+            if best >= 0.8:
+                expect[d, i] = (best, min(len(item), len(words)))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.n_words) for r in decontam.find(df, bench).collect()}
+    assert got == expect and len({d for d, _ in expect}) > 40
+    assert {r.doc_id for r in decontam.drop_contaminated(df, bench).collect()} == set(docs) - {d for d, _ in expect}
+
+
 def plain_base(text):
     out = [(0, m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [(1, m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
