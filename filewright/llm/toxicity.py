@@ -3,7 +3,8 @@
 The longest context of a byte (up to ORDER - 1 bytes, never past the start of its word) has counts of its own for
 toxic and for ordinary texts. Both classes back off to one distribution of continuation counts that they share, so an
 expression that is rare in either class is smoothed by all that is known of its parts. A word's log-likelihood ratio
-is the sum over its bytes; a text is judged by ratios that are normalised by length.
+is the sum over its bytes. A text is judged by the mean ratio of its words, the length-normalised difference of its
+two log-likelihoods, and beside it by how much its most telling words say.
 """
 
 from __future__ import annotations
@@ -22,12 +23,12 @@ DISCOUNT = 0.75
 #: Labelled texts, at most, whose features calibrate the score (all of them are counted).
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.7
-#: A word's ratio is evidence above so many nats (less is what any text holds, in proportion to its length) ...
-LEAST = 6.0
-#: ... and up to so many more.
-MOST = 10.0
-#: Added to the mean evidence of a word before its logarithm is taken.
+#: Where a word's ratio, in nats, turns from a little into its full worth as peak evidence.
+BEND = 6.0
+#: Added to the mean peak evidence of a word before its logarithm is taken.
 FLOOR = 0.002
+#: The mean ratio of a text without words: less than that of any other.
+NOTHING = -50.0
 
 
 class KneserNey:
@@ -75,46 +76,57 @@ class KneserNey:
         return np.bincount(word, ratio, len(words))[:, None]
 
 
-def evidence(ratios: np.ndarray) -> float:
-    """Of a text's word ratios: the logarithm of the mean evidence of a word."""
-    mean = np.clip(ratios - LEAST, 0, MOST).sum() / max(1, len(ratios))
-    return float(np.log(mean + FLOOR))
+def evidence(ratios: np.ndarray) -> tuple[float, float]:
+    """Of a text's word ratios: their mean, and the logarithm of the mean peak evidence of a word.
+
+    Peak evidence bends smoothly: every ratio counts, and a higher one always counts more.
+    """
+    if not len(ratios):
+        return NOTHING, float(np.log(FLOOR))
+    ratios = ratios.astype(np.float64)
+    return float(ratios.mean()), float(np.log(np.logaddexp(0, ratios - BEND).mean() + FLOOR))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, float]:
-    """Intercept and slope, by Newton's steps; the slope is never negative. Without both labels, the base rate."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, np.ndarray]:
+    """Intercept and slopes, by Newton's steps; no slope is negative. Without both labels, the base rate."""
+    slopes = np.zeros(x.shape[1])
     if y.min(initial=1) == y.max(initial=0) or not len(y):
         rate = (y.sum() + 0.5) / (len(y) + 1)
-        return float(np.log(rate / (1 - rate))), 0.0
-    b = np.zeros(2)
-    z = np.stack([np.ones(len(x)), x], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(2), z.T @ (y - p) - ridge * b)
-        b += np.clip(step, -5, 5)
-        if abs(step).max() < 1e-6:
-            break
-    return float(b[0]), float(max(b[1], 0.0))
+        return float(np.log(rate / (1 - rate))), slopes
+    used = list(range(x.shape[1]))
+    while True:
+        z = np.concatenate([np.ones((len(x), 1)), x[:, used]], 1)
+        b = np.zeros(z.shape[1])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(b)), z.T @ (y - p) - ridge * b)
+            b += np.clip(step, -5, 5)
+            if abs(step).max() < 1e-6:
+                break
+        if (b[1:] >= 0).all():
+            slopes[used] = b[1:]
+            return float(b[0]), slopes
+        used.pop(int(b[1:].argmin()))
 
 
 def _features(rows: DataFrame, keep: list[str], models: list, which: str, text: str):
-    """``keep`` and x, the evidence in ``text``; column ``which`` says by which model. Also the models' broadcast."""
+    """``keep`` and x0 and x1, the evidence in ``text``; column ``which`` says by which model. Also the models' broadcast."""
     spark = rows.sparkSession
     shared, name = spark.sparkContext.broadcast(models), uuid.uuid4().hex
     types = {f.name: f.dataType for f in rows.schema}
-    ddl = ", ".join(f"{c} {types[c].simpleString()}" for c in keep) + ", x double"
+    ddl = ", ".join(f"{c} {types[c].simpleString()}" for c in keep) + ", x0 double, x1 double"
 
     def run(batches):
         held = worker_state(name, lambda: [grams.WordScores(m.score, 1) for m in shared.value])
         for batch in batches:
-            x = np.zeros(batch.num_rows)
+            x = np.zeros((batch.num_rows, 2))
             model = batch.column(which).to_numpy(zero_copy_only=False)
             texts = batch.column(text).to_pylist()
             for m, scores in enumerate(held):
                 at = np.flatnonzero(model == m)
                 for i, ratios in zip(at, scores.of([grams.words_of(texts[i]) for i in at])):
                     x[i] = evidence(ratios[:, 0])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(x)], names=[*keep, "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(x[:, 0]), pa.array(x[:, 1])], names=[*keep, "x0", "x1"])
 
     out = rows.select(*dict.fromkeys([*keep, which, text])).mapInArrow(run, ddl)
     return out, shared
@@ -127,7 +139,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     texts are counted; two halves score each other's texts, and a bounded sample of those (``calibration_rows``)
     turns evidence into a probability. Labels, language, source and id never enter a score.
 
-    A null or empty text has no evidence and gets the least score that the fit gives; of several labels of an id the
+    A null or empty text has no words and scores less than any other text; of several labels of an id the
     highest counts; labels that are neither 0 nor 1 and null ids teach nothing (such documents are scored all the
     same, their held_out is false); repeated rows teach and are scored each; without labels of both kinds every score
     is the smoothed base rate; an empty table gives an empty one. Every row and every other column stays (columns that
@@ -148,13 +160,13 @@ def score(docs: DataFrame, labels: DataFrame, held_out, calibration_rows: int =
     seen, halves = _features(sample, ["label"], [KneserNey(tree, n[:, :2]), KneserNey(tree, n[:, 2:])], "other", "text")
     seen = seen.toPandas()
     halves.unpersist()
-    a, b = fit_logistic(seen["x"].to_numpy(float), (seen["label"].to_numpy(int) % 2).astype(float))
+    a, b = fit_logistic(seen[["x0", "x1"]].to_numpy(float), (seen["label"].to_numpy(int) % 2).astype(float))
     final = KneserNey(tree, n[:, :2] + n[:, 2:])
     docs = docs.drop("held_out", "score", "predicted")
     keep = docs.columns
     named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), F.coalesce(held_out, F.lit(False)).alias("held"), F.col("text").cast("string").alias("whole"), F.lit(0).alias("model"))
     out, _ = _features(named, [*(f"c{i}" for i in range(len(keep))), "held"], [final], "model", "whole")
-    value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))
+    value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(float(b[0])) * F.col("x0") + F.lit(float(b[1])) * F.col("x1"))))
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), F.col("held").alias("held_out"), value.alias("score"), (value >= threshold).cast("int").alias("predicted"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from compare import SMALL, duck, same  # noqa: E402
-from filewright.llm import bpe, decontam, embed, grams, langid, ngram_join, pii, substring  # noqa: E402
+from filewright.llm import bpe, decontam, embed, grams, langid, ngram_join, pii, substring, toxicity  # noqa: E402
 from filewright.llm.common import components, mix64, rolling, sliding_min, split_by  # noqa: E402
 from filewright.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
@@ -219,6 +219,18 @@ def test_toxicity_on_held_out_labels(spark):
     assert len(rows) > 100 and len(wrong) <= 0.05 * len(rows) and not [r for r in wrong if r.toxic == 0]
 
 
+def test_toxicity_of_words_that_ordinary_texts_hold_too(spark):
+    """Toxic texts hold some words about 50 times as often as ordinary ones: many such words tell."""
+    rng = random.Random(8)
+    name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    plain, rude = [name() for _ in range(300)], [name() for _ in range(20)]
+    rows = [(i, int(i % 4 == 0), " ".join(rng.choice(rude if rng.random() < (0.25 if i % 4 == 0 else 0.005) else plain) for _ in range(80))) for i in range(1200)]
+    docs = spark.createDataFrame([(i, text) for i, _, text in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, toxic, _ in rows], "doc_id long, toxic int")
+    got = [(r.predicted, rows[r.doc_id][1]) for r in toxicity.score(docs, labels, toxicity.default_held_out()).collect() if r.held_out]
+    assert len(got) > 300 and sum(p != t for p, t in got) <= 0.02 * len(got), Counter(got)
+
+
 def test_language_on_held_out_labels(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op4_language"](spark, MIDDLE).join(docs, "doc_id").where("held_out").collect()
