@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _OWN_DIRS: dict[str, str] = {}
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018  other C libraries have none
+except (OSError, AttributeError):
+    _LIBC = None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +76,10 @@ def drop_cut(df: DataFrame) -> None:
         remove_path(df.sparkSession, path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound what one Arrow batch of whole texts holds."""
+def small_batches(spark: SparkSession, rows: int = 256, size: int = 4 << 20) -> None:
+    """Bound what one Arrow batch of whole texts holds, in rows and in bytes (a longer text is a batch of its own)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 #: What AQE merges small shuffle partitions up to: a task fetches and sorts about as much at a time.
@@ -91,18 +99,23 @@ def text_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary")
 
 
-#: Bits of the filter in ``split_by``: a megabyte, whatever the data.
-FILTER_BITS = 1 << 23
+#: Bits of the filter in ``split_by``, at least and at most: one megabyte to 32, whatever the data.
+FILTER_BITS, MOST_FILTER_BITS = 1 << 23, 1 << 28
 
 
-def split_by(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tuple[DataFrame, DataFrame]:
+def filter_bits(n: int) -> int:
+    """Bits for a filter of n keys: sixteen or so for each, within the bounds."""
+    return min(MOST_FILTER_BITS, max(FILTER_BITS, 1 << (16 * n).bit_length()))
+
+
+def split_by(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(maybe, never): the rows of ``df`` whose key may be among ``wanted``'s, and those whose key certainly isn't.
 
     A bitmap of hashed keys, of a fixed size, is broadcast; so a join of wide rows with few keys needn't exchange
     the rows that can't match. A null key is never wanted. With more keys than bits nearly all rows are maybe, which
     is right all the same.
     """
-    bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS)) + 1
+    bit = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(bits)) + 1
     marks = wanted.where(F.col(wanted_key).isNotNull()).select(bit(wanted_key).alias("b"))
     bitmap = marks.groupBy(F.bitmap_bucket_number("b").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("__bitmap"))
     at = F.bitmap_bit_position(bit(key))
@@ -112,6 +125,14 @@ def split_by(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tup
     return marked.where("__maybe").select(*df.columns), marked.where("NOT __maybe").select(*df.columns)
 
 
+def trim() -> None:
+    """Give memory that this Python worker no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 _WORKER: dict = {}
 
 
@@ -119,6 +140,7 @@ def worker_state(name: str, build):
     """What a task of an operator keeps in its Python worker; a worker holds the state of one operator at a time."""
     if name not in _WORKER:
         _WORKER.clear()
+        trim()
         _WORKER[name] = build()
     return _WORKER[name]
 
@@ -127,7 +149,7 @@ def release_worker_state() -> None:
     """Let go of another operator's state, in a task of an operator that keeps none: workers outlive a job."""
     if _WORKER:
         _WORKER.clear()
-        gc.collect()
+        trim()
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:

@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage
 
-from filewright.llm.common import new_path, small_batches
+from filewright.llm.common import cut, filter_bits, new_path, small_batches, split_by
 
 #: Column, header field that it holds.
 HEADERS = {
@@ -41,12 +41,8 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _field(value: str) -> str:
-    """A header value: line breaks can't stand in one."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
-
-
-def _unfield(value: str) -> str:
-    return value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+    """A header value: line breaks can't stand in one and are percent-encoded. Reading decodes nothing."""
+    return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
 def record(kind: str, record_id: str, uri: str | None, digest: str, refers_to: str | None, length: int, payload: bytes | None) -> bytes:
@@ -234,6 +230,7 @@ def records(stream, compressed: bool, wanted, payload: bool):
 
 @dataclass
 class _Files(InputPartition):
+    folder: str
     names: list[str]
 
 
@@ -263,23 +260,23 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, root = _open(self.path)
-        at = posixpath.join(root, MANIFEST)
+        at, folder = posixpath.join(root, MANIFEST), self.path
         if fs.get_file_info(at).type == pafs.FileType.File:
             with fs.open_input_stream(at) as file:
                 found = [(n, s) for n, s in json.loads(file.read())]
         elif fs.get_file_info(root).type == pafs.FileType.File:
-            found, self.path = [(posixpath.basename(root), 0)], self.path.rpartition("/")[0]
+            found, folder = [(posixpath.basename(root), fs.get_file_info(root).size)], self.path.rpartition("/")[0]
         else:
             listed = fs.get_file_info(pafs.FileSelector(root))
             found = [(i.base_name, i.size) for i in listed if i.base_name.endswith((".warc", ".warc.gz"))]
-        groups, held = [], self.target
+        groups, held = [], 0
         for name, size in sorted(found):
-            if held + size > self.target:
+            if not groups or held + size > self.target:
                 groups.append([])
                 held = 0
             groups[-1].append(name)
             held += size
-        return [_Files(g) for g in groups] or [_Files([])]
+        return [_Files(folder, g) for g in groups] or [_Files(folder, [])]
 
     def _wanted(self, head: dict) -> bool:
         for column, values in self.allowed.items():
@@ -289,7 +286,7 @@ class WarcReader(DataSourceReader):
         return True
 
     def read(self, partition):
-        fs, root = _open(self.path)
+        fs, root = _open(partition.folder)
         rows, held = [], 0
         for name in partition.names:
             with fs.open_input_file(posixpath.join(root, name)) as stream:
@@ -307,9 +304,7 @@ def _value(column: str, head: dict) -> str | None:
     value = head.get(HEADERS[column].lower())
     if value is None:
         return None
-    if column in ("record_id", "refers_to"):
-        return value.strip("<>")
-    return _unfield(value) if column == "target_uri" else value
+    return value.strip("<>") if column in ("record_id", "refers_to") else value
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -341,18 +336,31 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
-def plan_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
+#: Payloads that occur more than once, at most, of which each task gets the whole list: some 50 MB.
+BROADCAST_COPIES = 200_000
+
+
+def plan_records(pages: DataFrame, min_bytes: int = 100, broadcast_copies: int = BROADCAST_COPIES) -> DataFrame:
     """The record of each row of ``pages(page_id, url, html)``: its payload, digest and whether it revisits another.
 
     Of equal payloads of ``min_bytes`` at least, the smallest page_id is the response. The groups are found by
-    partial aggregation (a payload that a third of all rows share becomes one row for each task), and joined back.
+    partial aggregation of ids and digests (a payload that a third of all rows share becomes one row for each task)
+    and joined back. A short list of groups, counted first, is broadcast and no payload moves. With a long one, a
+    bitmap of its digests leaves payloads that occur once where they are; the others go through a sort-merge join,
+    whose skewed parts AQE deals anew.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.select("*", F.length("payload").cast("long").alias("payload_length"), F.sha2("payload", 256).alias("payload_digest"))
-    first = rows.where(F.col("payload_length") >= min_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select(F.col("payload_digest").alias("digest"), "first")
-    rows = rows.join(first, F.col("payload_digest") == F.col("digest"), "left").drop("digest")
+    first = rows.where(F.col("payload_length") >= min_bytes).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    first = cut(first.select(F.col("payload_digest").alias("digest"), "first", F.xxhash64("payload_digest").alias("key")), "warc-copies")
     revisit = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-    return rows.select(
+    if first.count() <= broadcast_copies:
+        found = rows.join(F.broadcast(first.select("digest", "first")), F.col("payload_digest") == F.col("digest"), "left")
+    else:
+        maybe, never = split_by(rows.withColumn("key", F.xxhash64("payload_digest")), "key", first, "key", filter_bits(first.count()))
+        listed = first.select("digest", "first").hint("shuffle_merge")
+        found = maybe.join(listed, F.col("payload_digest") == F.col("digest"), "left").drop("digest").unionByName(never.withColumn("first", F.lit(None).cast("long")))
+    return found.select(
         "page_id", "url", "payload_digest", "payload_length",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"),
         F.when(~revisit, F.col("payload")).alias("payload"),

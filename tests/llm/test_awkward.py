@@ -98,6 +98,8 @@ def test_line_dedup_on_small_hosts(spark):
     for i, text, host in pages:
         plate = host in ("h2", "h9", "h19")
         assert (rows[i].text, rows[i].n_dropped) == ((text.split("\n")[1], 1) if plate else (text, 0)), (i, host)
+    spread = {r.doc_id: r for r in linededup.drop_boilerplate(df.withColumn("x", F.lit(1)), broadcast_lines=0).drop("x").collect()}
+    assert spread == rows  # too many lines to broadcast
 
 
 def test_decontamination(docs, none, spark):
@@ -130,6 +132,8 @@ def test_warc(spark, compression):
     first = {same: 2}
     expect = sorted((i or 0, len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest(), "revisit" if h == same and i != 2 else "response", first.get(h) if i != 2 else None) for i, _, h in rows)
     assert sorted((r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out) == expect
+    planned = [sorted(map(repr, warc.plan_records(pages, broadcast_copies=n).collect())) for n in (0, 1000)]  # a long list of copies, a short one
+    assert planned[0] == planned[1] and len(planned[0]) == len(rows)
     assert warc.round_trip(pages.limit(0), compression=compression).count() == 0
 
 
@@ -144,5 +148,11 @@ def test_warc_reader(spark, tmp_path):
     reader = warc.WarcReader(f"file://{tmp_path}/w", {"partitionBytes": "1"})
     left = list(reader.pushFilters([warc.EqualTo(("record_type",), "revisit"), warc.EqualTo(("payload_length",), 3)]))
     assert len(left) == 1 and sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 0 and len(reader.partitions()) > 1
+    # an archive written elsewhere: its URIs are given back as they are, and predicates see them so
+    foreign = tmp_path / "foreign.warc"
+    foreign.write_bytes(b"".join(warc.record("response", f"urn:x:{i}", uri, "0", None, 2, b"ok") for i, uri in enumerate(["http://a/x%25y", "http://a/%0Ab", "http://a/c%"])))
+    back = spark.read.format("warc").load(f"file://{foreign}")
+    assert {r.target_uri for r in back.collect()} == {"http://a/x%25y", "http://a/%0Ab", "http://a/c%"}
+    assert back.where("target_uri = 'http://a/x%25y'").count() == 1 and back.where("target_uri = 'http://a/x%y'").count() == 0
     bare = spark.read.format("warc").option("payload", "false").load(f"file://{tmp_path}/w").collect()
     assert all(r.payload is None and r.payload_length > 0 for r in bare)
