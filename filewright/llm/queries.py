@@ -75,14 +75,14 @@ FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >=
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents, with the source as the host: what is left of each text, as a digest. The SQL has a floor of pages."""
-    rows = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"), min_pages=linededup.MIN_PAGES)
+    """Lines of documents, with the source as the host: what is left of each text, as a digest."""
+    rows = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 OP8_SQL = f"""
 WITH totals AS (
-  SELECT source, count(*) AS pages FROM documents GROUP BY source HAVING count(*) >= {linededup.MIN_PAGES}
+  SELECT source, count(*) AS pages FROM documents GROUP BY source
 ), lines AS (
   SELECT DISTINCT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
 ), plate AS (
