@@ -54,6 +54,15 @@ def keys(line: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
+def summed(grams: np.ndarray, weight: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams, ascending, and the sums of their weights; ``row`` says which row of ``weight`` is a gram's."""
+    order = np.argsort(grams)
+    ordered = grams[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    sums = np.stack([np.add.reduceat(weight[:, c][row[order]], first) for c in range(weight.shape[1])], 1) if len(first) else np.zeros((0, weight.shape[1]), np.int64)
+    return ordered[first], sums
+
+
 def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", text: str = "text") -> DataFrame:
     """(gram, n0, n1, ...): how often each gram occurs in the texts of each class (``label``: 0, 1, ...)."""
     schema = pa.schema([("gram", pa.int64()), *((f"n{c}", pa.int64()) for c in range(n_classes))])
@@ -66,16 +75,18 @@ def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", tex
         for c, counter in enumerate(counters):
             weight[:, c] = np.fromiter(map(counter.__getitem__, words), np.int64, len(words))
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(words), 20_000):
-            line, word, pos = packed(words[at : at + 20_000], order)
+        for at in range(0, len(words), 50_000):
+            line, word, pos = packed(words[at : at + 50_000], order)
+            longest = np.zeros(len(line), np.int64)  # the gram of each byte that reaches back furthest
             for gram in keys(line, pos, order):
-                there = gram > 0
-                found, back = np.unique(gram[there], return_inverse=True)
-                w = weight[at : at + 20_000][word[there]]
-                held.append((found, np.stack([np.bincount(back, w[:, c], len(found)) for c in range(n_classes)], 1)))
-        grams, back = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+                longest = np.where(gram > 0, gram, longest)
+            found, sums = summed(longest, weight[at : at + 50_000], word)
+            for k in range(1, order + 1):  # all others are ends of those
+                there = np.flatnonzero(found >> _TAG >= k)
+                held.append(summed(found[there] & ((np.int64(1) << (8 * k)) - 1) | (k << _TAG), sums, there))
         counts = np.concatenate([c for _, c in held])
-        sums = [np.bincount(back, counts[:, c], len(grams)).astype(np.int64) for c in range(n_classes)]
+        grams, sums = summed(np.concatenate([g for g, _ in held]), counts, np.arange(len(counts)))
+        sums = sums.T
         for at in range(0, len(grams), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(grams[at : at + 50_000]), *(pa.array(s[at : at + 50_000]) for s in sums)], schema=schema)
 
@@ -131,16 +142,57 @@ class Tree:
         at = np.minimum(np.searchsorted(self.grams, wanted), len(self.grams) - 1)
         return np.where(self.grams[at] == wanted, at, -1)
 
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """``rows`` by a table of hashes, which a worker makes for itself: far fewer steps than a binary search."""
+        if not hasattr(self, "slots"):
+            self.slots, self.shift = _slots(self.grams)
+        at, size = _slot(wanted, self.shift), np.int64(len(self.slots) - 1)
+        got = self.slots[at]
+        out = np.where((got >= 0) & (self.grams[got] == wanted), got, -1) if len(self.grams) else np.full(len(wanted), -1, np.int32)
+        left = np.flatnonzero((got >= 0) & (out < 0))
+        while len(left):
+            at[left] = (at[left] + 1) & size
+            got = self.slots[at[left]]
+            hit = (got >= 0) & (self.grams[got] == wanted[left])
+            out[left[hit]] = got[hit]
+            left = left[(got >= 0) & ~hit]
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("slots", "shift")}
+
+
+def _slot(key: np.ndarray, shift: int) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)).astype(np.int64)
+
+
+def _slots(grams: np.ndarray) -> tuple[np.ndarray, int]:
+    """An open table of the rows, at most half full, and the shift of its hash."""
+    bits = max(4, (2 * len(grams)).bit_length())
+    table = np.full(1 << bits, -1, np.int32)
+    left, at = np.arange(len(grams)), _slot(grams, 64 - bits)
+    while len(left):
+        free = table[at] < 0
+        table[at[free]] = left[free]  # of several for one slot, one stays
+        lost = table[at] != left
+        left, at = left[lost], (at[lost] + 1) & ((1 << bits) - 1)
+    return table, 64 - bits
+
 
 class WordScores:
-    """Scores of words, computed for the new words of a batch at once and kept in a bounded cache."""
+    """Scores of words, computed for the new words of a batch at once and kept in a bounded cache.
+
+    A full cache lets go of the words that it met once; those met again stay unless they fill half of it.
+    """
 
     def __init__(self, score, width: int, most: int = 200_000):
         self.score, self.width, self.most = score, width, most
-        self._clear()
+        self.piece = max(1 << 14, (1 << 21) // max(4, width))  # bytes scored at a time
+        self._start([], np.zeros((4096, width), np.float32))
 
-    def _clear(self) -> None:
-        self.table, self.used, self.fresh = np.zeros((4096, self.width), np.float32), 0, []
+    def _start(self, words: list[bytes], table: np.ndarray) -> None:
+        self.table, self.used, self.fresh = table, len(words), []
+        self.met = np.zeros(len(table), np.int32)
         outer = self
 
         class Index(dict):
@@ -150,23 +202,33 @@ class WordScores:
                 outer.fresh.append(word)
                 return row
 
-        self.index = Index()
+        self.index = Index(zip(words, range(len(words))))
+
+    def _let_go(self) -> None:
+        again = np.flatnonzero(self.met[: self.used] > 1)
+        if len(again) > self.most // 2:
+            again = again[:0]
+        words, table = list(self.index), np.zeros((max(4096, len(again)), self.width), np.float32)
+        table[: len(again)] = self.table[again]
+        self._start([words[i] for i in again.tolist()], table)
 
     def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """For each list of words, their scores (words x width)."""
         if self.used > self.most:
-            self._clear()
+            self._let_go()
         look = self.index.__getitem__
-        rows = [np.fromiter(map(look, words), np.int64, len(words)) for words in texts]
+        rows = [np.fromiter(map(look, words), np.int32, len(words)) for words in texts]
         if self.used > len(self.table):
-            bigger = np.zeros((max(self.used, 2 * len(self.table)), self.width), np.float32)
-            bigger[: len(self.table)] = self.table
-            self.table = bigger
+            more = max(self.used, 2 * len(self.table)) - len(self.table)
+            self.table = np.concatenate([self.table, np.zeros((more, self.width), np.float32)])
+            self.met = np.concatenate([self.met, np.zeros(more, np.int32)])
+        if rows:
+            self.met += np.bincount(np.concatenate(rows), minlength=len(self.met)).astype(np.int32)
         at = self.used - len(self.fresh)
         begin, size = 0, 0
         for end, word in enumerate(self.fresh, 1):  # pieces of bounded size: scoring holds several arrays of their bytes
             size += len(word) + 2
-            if size >= 1 << 19 or end == len(self.fresh):
+            if size >= self.piece or end == len(self.fresh):
                 self.table[at + begin : at + end] = self.score(self.fresh[begin:end])
                 begin, size = end, 0
         self.fresh = []

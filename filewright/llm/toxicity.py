@@ -50,7 +50,7 @@ class KneserNey:
     def score(self, words: list[bytes]) -> np.ndarray:
         line, word, at = grams.packed(words, self.tree.order)
         order, n = self.tree.order, len(self.counts)
-        rows = [self.tree.rows(k) for k in grams.keys(line, at, order)]
+        rows = [self.tree.find(k) for k in grams.keys(line, at, order)]
         context = [np.full(len(line), n)]
         for r in rows[:-1]:
             context.append(np.concatenate([[-1], r[:-1]]))

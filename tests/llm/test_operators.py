@@ -283,6 +283,7 @@ def test_ppm_is_a_code():
     line, word, at = grams.packed(words, 4)
     found, counts = np.unique(np.concatenate([k[k > 0] for k in grams.keys(line, at, 4)]), return_counts=True)
     model = langid.ContextTrees(grams.Tree(found, 4), counts[:, None].astype(float))
+    model.counts = counts[:, None]
     for context in (b"", b"a", b"ab", b"abr", b"zz"):
         # a word is its bytes and the space after it: leave that last byte's cost out by asking for it alone
         total = 0.0
@@ -295,6 +296,49 @@ def test_ppm_is_a_code():
     assert model.score([b"abra"])[0, 0] < model.score([b"qqqq"])[0, 0]
 
 
+def test_trees_of_several_languages():
+    """Languages share a tree: each one's code lengths are those of a tree of its own; lookups by hash find every gram."""
+    rng = random.Random(12)
+    word = lambda: bytes(rng.choice(b"abcd") for _ in range(rng.randrange(1, 7)))
+    learnt = [[word() for _ in range(60)] for _ in range(3)]
+    tables = []
+    for words in learnt:
+        line, _, at = grams.packed(words, 4)
+        tables.append(Counter(np.concatenate([k[k > 0] for k in grams.keys(line, at, 4)]).tolist()))
+    found = np.array(sorted(set().union(*tables)))
+    counts = np.array([[t[g] for t in tables] for g in found.tolist()], float)
+    tree = grams.Tree(found, 4)
+    assert tree.find(found).tolist() == list(range(len(found))) and (tree.find(found + 1) == tree.rows(found + 1)).all()
+    asked = [word() for _ in range(200)] + [b"xyz", b"a" * 9, b"dx"]
+    whole = langid.ContextTrees(tree, counts).score(asked)
+    for c, table in enumerate(tables):
+        own = np.array(sorted(table))
+        alone = langid.ContextTrees(grams.Tree(own, 4), np.array([[table[g]] for g in own.tolist()], float))
+        assert abs(whole[:, c] - alone.score(asked)[:, 0]).max() < 1e-4
+
+
+def test_cache_of_words():
+    """Scores are the same however often the cache lets words go."""
+    scores = grams.WordScores(lambda words: np.array([[len(w), w[0]] for w in words], float), 2, most=50)
+    rng = random.Random(1)
+    for _ in range(60):
+        texts = [[f"{rng.choice('ab') * rng.randrange(1, 30)}".encode() for _ in range(rng.randrange(20))] for _ in range(5)]
+        assert [s.tolist() for s in scores.of(texts)] == [[[len(w), w[0]] for w in t] for t in texts]
+
+
+def test_counts_of_grams(spark):
+    texts = [(0, "abra cadabra abra"), (1, "abracadabra"), (0, None), (1, ""), (1, "é x")]
+    got = {r.gram: (r.n0, r.n1) for r in grams.count(spark.createDataFrame(texts, "label int, text string"), 2, 4).collect()}
+    expect = defaultdict(lambda: [0, 0])
+    for label, text in texts:
+        for w in grams.words_of(text):
+            whole = b" " + w + b" "
+            for i in range(len(whole)):
+                for k in range(1, min(4, i + 1) + 1):
+                    expect[int.from_bytes(whole[i + 1 - k : i + 1], "big") | k << 56][label] += 1
+    assert got == {g: tuple(n) for g, n in expect.items()}
+
+
 def test_models_hold_every_gram(spark):
     """However many grams there are, the rarest of the smallest class stay."""
     n = 1_600_000
