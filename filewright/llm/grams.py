@@ -1,7 +1,7 @@
-"""Counts of byte sequences within words, for models of several classes.
+"""Counts of byte sequences within words or whole texts, for models of several classes.
 
-A word is a run without white space; it is modelled with a space before and after it, and contexts never reach
-further back than the space before. A gram of k bytes is packed exactly into 64 bits (k, then the bytes), so counts
+A word is a run without white space; it is modelled with a space before and after it, and its contexts never reach
+further back than the space before. A whole text is its words, one space apart, and contexts reach across the spaces. A gram of k bytes is packed exactly into 64 bits (k, then the bytes), so counts
 don't collide. Counting takes every word of every row: Python counts the words of a partition, breaks the distinct
 ones into grams and sums those; Spark adds the partitions up. A model holds every gram, rare ones as well: it grows
 with the distinct grams of the input.
@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from filewright.llm.common import release_worker_state
+
 #: A longer run of bytes is cut into pieces of this length.
 PIECE = 4096
 #: A partition breaks its words into grams whenever it holds so many distinct ones.
@@ -65,7 +67,6 @@ def summed(grams: np.ndarray, weight: np.ndarray, row: np.ndarray) -> tuple[np.n
 
 def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", text: str = "text") -> DataFrame:
     """(gram, n0, n1, ...): how often each gram occurs in the texts of each class (``label``: 0, 1, ...)."""
-    schema = pa.schema([("gram", pa.int64()), *((f"n{c}", pa.int64()) for c in range(n_classes))])
 
     def broken(counters):
         words = list(set().union(*counters))
@@ -75,22 +76,16 @@ def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", tex
         for c, counter in enumerate(counters):
             weight[:, c] = np.fromiter(map(counter.__getitem__, words), np.int64, len(words))
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(words), 50_000):
-            line, word, pos = packed(words[at : at + 50_000], order)
+        for at in range(0, len(words), 20_000):
+            line, word, pos = packed(words[at : at + 20_000], order)
             longest = np.zeros(len(line), np.int64)  # the gram of each byte that reaches back furthest
             for gram in keys(line, pos, order):
                 longest = np.where(gram > 0, gram, longest)
-            found, sums = summed(longest, weight[at : at + 50_000], word)
-            for k in range(1, order + 1):  # all others are ends of those
-                there = np.flatnonzero(found >> _TAG >= k)
-                held.append(summed(found[there] & ((np.int64(1) << (8 * k)) - 1) | (k << _TAG), sums, there))
-        counts = np.concatenate([c for _, c in held])
-        grams, sums = summed(np.concatenate([g for g, _ in held]), counts, np.arange(len(counts)))
-        sums = sums.T
-        for at in range(0, len(grams), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(grams[at : at + 50_000]), *(pa.array(s[at : at + 50_000]) for s in sums)], schema=schema)
+            held.append(summed(longest, weight[at : at + 20_000], word))
+        yield from _with_ends(held, order)
 
     def run(batches):
+        release_worker_state()
         counters = [Counter() for _ in range(n_classes)]
         for batch in batches:
             for c, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -100,11 +95,89 @@ def count(rows: DataFrame, n_classes: int, order: int, label: str = "label", tex
                 counters = [Counter() for _ in range(n_classes)]
         yield from broken(counters)
 
-    ddl = "gram long, " + ", ".join(f"n{c} long" for c in range(n_classes))
-    parts = rows.select(F.col(label).cast("int"), F.col(text).cast("string")).mapInArrow(run, ddl)
+    return _added_up(rows.select(F.col(label).cast("int"), F.col(text).cast("string")), run, n_classes)
+
+
+def _with_ends(held: list[tuple[np.ndarray, np.ndarray]], order: int):
+    """Batches of the grams in ``held`` (the longest of each byte, and their weights) and of all that they end in."""
+    weight = np.concatenate([n for _, n in held])
+    found, weight = summed(np.concatenate([g for g, _ in held]), weight, np.arange(len(weight)))
+    held.clear()
+    names = ["gram", *(f"n{c}" for c in range(weight.shape[1]))]
+    for k in range(1, order + 1):
+        there = np.flatnonzero(found >> _TAG >= k)
+        grams, sums = summed(found[there] & ((np.int64(1) << (8 * k)) - 1) | (k << _TAG), weight, there)
+        for at in range(0, len(grams), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(grams[at : at + 50_000]), *(pa.array(c[at : at + 50_000]) for c in sums.T)], names=names)
+
+
+def _added_up(rows: DataFrame, run, n_classes: int) -> DataFrame:
+    parts = rows.mapInArrow(run, "gram long, " + ", ".join(f"n{c} long" for c in range(n_classes)))
     return parts.groupBy("gram").agg(*(F.sum(f"n{c}").alias(f"n{c}") for c in range(n_classes)))
 
 
+def line_of(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts on one line of bytes: lower-cased, a space for each run of white space, one before and one after each text.
+
+    Returns the bytes, each byte's distance from the start of its text (``order`` at most), and the words of each text.
+    A text without words has no bytes.
+    """
+    words = [(t or "").lower().encode().split() for t in texts]
+    line = np.frombuffer(b"".join(b" " + b" ".join(w) + b" " for w in words if w), np.uint8)
+    sizes = np.array([sum(map(len, w)) + len(w) + 1 for w in words if w], np.int64)
+    at = np.full(len(line), order, np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    for k in range(order):  # a text with words has three bytes at least
+        there = starts[sizes > k] + k
+        at[there] = k
+    return line, at, np.array([len(w) for w in words], np.int64)
+
+
+def longest_keys(line: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The longest gram, of ``order`` bytes at most, that ends at each byte and doesn't leave its text."""
+    out = np.zeros(len(line), np.int64)
+    body = line.astype(np.int64)
+    rolled = body.copy()
+    for k in range(1, order + 1):
+        if k > 1:
+            rolled[k - 1 :] += body[: -(k - 1)] << (8 * (k - 1))
+        there = at >= k - 1
+        out[there] = rolled[there] | (k << _TAG)
+    return out
+
+
+def pieces(line: np.ndarray, at: np.ndarray, order: int, size: int = 1 << 19):
+    """(begin, end, longest keys) of a line, a bounded piece at a time."""
+    for begin in range(0, len(line), size):
+        end, back = min(len(line), begin + size), max(0, begin - order)
+        yield begin, end, longest_keys(line[back:end], at[back:end], order)[begin - back :]
+
+
+def count_texts(rows: DataFrame, n_classes: int, order: int, label: str = "label", text: str = "text", flush: int = 1 << 22) -> DataFrame:
+    """As ``count``, but of whole texts as ``line_of`` writes them: grams cross the space between words."""
+
+    def run(batches):
+        release_worker_state()
+        held, size = [], 0
+        for batch in batches:
+            labels, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for c in range(n_classes):
+                line, at, _ = line_of([texts[i] for i in np.flatnonzero(labels == c)], order)
+                for begin, end, longest in pieces(line, at, order):
+                    found, n = np.unique(longest, return_counts=True)
+                    weight = np.zeros((len(found), n_classes), np.int64)
+                    weight[:, c] = n
+                    held.append((found, weight))
+                    size += len(found)
+            if size > flush // 8:
+                yield from _with_ends(held, order)
+                held, size = [], 0
+        if held:
+            yield from _with_ends(held, order)
+
+    return _added_up(rows.select(F.col(label).cast("int"), F.col(text).cast("string")), run, n_classes)
+
+
 def collect(counts: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
     """The grams, ascending, and their counts (grams x classes): all of them."""
     table = counts.toArrow()
@@ -131,9 +204,10 @@ class Tree:
 
     def keys_only(self) -> Tree:
         """The tree without its pointers, for scoring."""
-        out = object.__new__(Tree)
-        out.grams, out.order = self.grams, self.order
-        return out
+        if not hasattr(self, "bare"):
+            self.bare = object.__new__(Tree)
+            self.bare.grams, self.bare.order = self.grams, self.order
+        return self.bare
 
     def rows(self, wanted: np.ndarray) -> np.ndarray:
         """The row of each key, -1 for those that are none of the grams."""
@@ -187,7 +261,7 @@ class WordScores:
 
     def __init__(self, score, width: int, most: int = 200_000):
         self.score, self.width, self.most = score, width, most
-        self.piece = max(1 << 14, (1 << 21) // max(4, width))  # bytes scored at a time
+        self.piece = max(1 << 14, (1 << 19) // max(4, width))  # bytes scored at a time
         self._start([], np.zeros((4096, width), np.float32))
 
     def _start(self, words: list[bytes], table: np.ndarray) -> None:

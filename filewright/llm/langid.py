@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filewright.llm import grams
-from filewright.llm.common import crc_mod, cut, small_batches, worker_state
+from filewright.llm.common import crc_mod, cut, share, small_batches, worker_state
 
 ORDER = 5
 UNKNOWN = "und"
@@ -119,7 +119,7 @@ def predict(docs: DataFrame, held_out, order: int = ORDER) -> DataFrame:
     counted = cut(grams.count(learn.select(index.alias("label"), "text"), width, order), "langid-grams")
     found, n = grams.collect(counted, width)
     model = ContextTrees(grams.Tree(found, order), n)
-    shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared, name = share(spark, model), uuid.uuid4().hex
     docs = docs.drop("held_out", "lang_pred", "score")
     keep = docs.columns
     held = F.coalesce(held_out, F.lit(False)).alias("held")
