@@ -18,10 +18,11 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from filewright.llm.common import small_batches, worker_state
+from filewright.llm.common import share, small_batches, worker_state
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 _LOW = (1 << 64) - 1
 
 
@@ -157,9 +158,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
     spark = docs.sparkSession
     small_batches(spark)
     digest, *tables = _tables(vocabulary)
-    tables = spark.sparkContext.broadcast(tables)
+    tables = share(spark, tables)
     id_type = docs.schema[id_col].dataType.simpleString()
-    fields = [pa.field(id_col, _arrow(id_type)), pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
+    fields = [pa.field(id_col, to_arrow_type(docs.schema[id_col].dataType)), pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
     if keep_ids:
         fields.append(pa.field("ids", pa.list_(pa.int32())))
     schema = pa.schema(fields)
@@ -180,7 +181,3 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fals
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(r, f.type) for r, f in zip(rows, fields[1:4])), *([pa.array(ids, fields[4].type)] if keep_ids else [])], schema=schema)
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, ddl)
-
-
-def _arrow(spark_type: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[spark_type]

@@ -133,6 +133,40 @@ def trim() -> None:
         _LIBC.malloc_trim(0)
 
 
+#: Of n rows, a key that holds more than n over this many, and more than a hundred, is hot: so there are fewer hot keys.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, side: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Inner join of ``rows`` with ``side(keys, n, ...)``, whose n says how many of the rows have each key.
+
+    Hot keys, HOT_KEYS at most by their definition, are broadcast, so that no task gets all rows of one.
+    """
+    side = cut(side, "counted")
+    total = side.agg(F.sum(n)).first()[0] or 0
+    most = max(100, total // HOT_KEYS)
+    hot = F.broadcast(side.where(F.col(n) > most).drop(n))
+    mild = side.where(F.col(n) <= most).drop(n).hint("shuffle_merge")
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(mild, keys))
+
+
+_SHARED: list = []
+
+
+def share(spark: SparkSession, value):
+    """Broadcast a value. The executors let go of what earlier operators broadcast; a later task of theirs fetches it again."""
+    while _SHARED:
+        old = _SHARED.pop()
+        if old._jbroadcast is not None and spark.sparkContext._jsc is not None:
+            try:
+                old.unpersist()
+            except Exception:  # noqa: BLE001  of a session that has ended
+                continue
+    out = spark.sparkContext.broadcast(value)
+    _SHARED.append(out)
+    return out
+
+
 _WORKER: dict = {}
 
 

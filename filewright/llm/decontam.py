@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import mix64, rolling, small_batches, worker_state
+from filewright.llm.common import mix64, rolling, share, small_batches, worker_state
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -191,7 +191,7 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, threshold: f
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     out = None
     for items in _blocks(benchmark, block_words):
-        shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+        shared, name = share(spark, items), uuid.uuid4().hex
 
         def run(batches, shared=shared, name=name):
             index = worker_state(name, lambda: Index(shared.value, width, threshold, radius))
@@ -214,7 +214,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     out = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), F.col("text").cast("string").alias("__text"))
     ddl = ", ".join(f"c{i} {t}" for i, t in enumerate(types)) + ", __text string"
     for items in _blocks(benchmark, block_words):
-        shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+        shared, name = share(spark, items), uuid.uuid4().hex
 
         def run(batches, shared=shared, name=name):
             index = worker_state(name, lambda: Index(shared.value, width, threshold, radius))

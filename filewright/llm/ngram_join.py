@@ -7,8 +7,9 @@ one of least estimated cost: longer prefixes give more matches to count, but ask
 verified.
 
 A group of near copies would make as many pairs as the square of its size. So the documents of an n-gram are first
-verified against one of them alone, the hub, then against a second one that the first didn't reach; pairs are then only sought between documents whose components still
-differ. Components, not pairs, are the result: what is left out joins documents that are joined already.
+paired with one of them alone, the hub, then with a second one that the first didn't reach; pairs are then only sought
+between documents whose components still differ. In every round a pair must share l n-grams of its prefixes before it
+is verified. Components, not pairs, are the result: what is left out joins documents that are joined already.
 
 A pair's sets are only fetched if its parity signatures allow the similarity: each n-gram flips one bit, so the bits
 that differ are no more than the n-grams that differ. That turns down pairs by chance and never a link.
@@ -22,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filewright.llm.common import components, cut, drop_cut, mix64, release_worker_state, rolling, small_batches, small_tasks, split_by
+from filewright.llm.common import HOT_KEYS, components, cut, drop_cut, mix64, release_worker_state, rolling, share, small_batches, small_tasks, split_by
 from filewright.llm.substring import word_hashes
 
 #: Counters of the frequency sketch: its size is fixed, whatever the data.
-SKETCH = 1 << 17
+SKETCH = 1 << 19
 MOST_MATCHES = 4
 #: Bits of a set's parity signature, kept as numbers of 64 bits.
 SIGNATURE = 1024
@@ -100,7 +101,7 @@ def _prefixes(docs: DataFrame, width: int, sketch: np.ndarray, num: int, den: in
     """(doc_id, n, ell, grams) of every row with words."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ell", pa.int32()), ("grams", pa.list_(pa.int64()))])
     noise = float(np.quantile(sketch, 0.75))
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    shared = share(docs.sparkSession, sketch)
 
     def run(batches):
         release_worker_state()
@@ -133,14 +134,49 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return maybe.mapInArrow(run, "id long, grams array<long>")
 
 
-def _likely(signed: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs(x, y)`` whose signatures in ``signed(doc_id, n, bits)`` allow the similarity num / den."""
-    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
-    wanted, _ = split_by(signed, "doc_id", ids, "id")
-    of = lambda c: wanted.select(F.col("doc_id").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}b")).hint("shuffle_merge")
-    both = pairs.join(of("y"), "y").join(of("x"), "x")
-    bits = [(F.col("xb")[i], F.col("yb")[i]) for i in range(SIGNATURE // 64)]
-    return both.where(_may_reach(bits, F.col("xn") + F.col("yn"), num, den)).select("x", "y").distinct()
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with xp and yp, the part of each end that a pair takes; (id, parts) of the ends that stand in many pairs.
+
+    A document that is the hub of many would have all of its pairs in one task. There are fewer than twice HOT_KEYS
+    such ends, by their definition.
+    """
+    most = max(50, pairs.count() // HOT_KEYS)
+    ends = pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
+    hot = cut(ends.groupBy("id").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")).where("parts > 1"), "join-hot")
+    for c, other in (("x", "y"), ("y", "x")):
+        found = F.broadcast(hot.select(F.col("id").alias(c), F.col("parts").alias(f"{c}p")))
+        pairs = pairs.join(found, c, "left").withColumn(f"{c}p", F.coalesce(F.pmod(F.xxhash64(other), F.col(f"{c}p")).cast("int"), F.lit(0)))
+    return pairs, hot
+
+
+def _met(dealt: DataFrame, hot: DataFrame, side: DataFrame) -> DataFrame:
+    """Each pair (x, y) with what ``side(id, ...)`` has of both ends, the columns of x and of y after their names."""
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    side = side.join(F.broadcast(hot), "id", "left").withColumn("part", parts).drop("parts")
+    of = lambda c: side.select(*(F.col(k).alias({"id": c, "part": f"{c}p"}.get(k, f"{c}_{k}")) for k in side.columns)).hint("shuffle_merge")
+    return dealt.join(of("y"), ["y", "yp"]).join(of("x"), ["x", "xp"])
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("id")).union(pairs.select("y"))
+
+
+def _likely(signed: DataFrame, dealt: DataFrame, hot: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (x, y) whose signatures in ``signed(doc_id, n, bits)`` allow the similarity num / den."""
+    wanted, _ = split_by(signed.withColumnRenamed("doc_id", "id"), "id", _ids(dealt), "id")
+    both = _met(dealt, hot, wanted)
+    bits = [(F.col("x_bits")[i], F.col("y_bits")[i]) for i in range(SIGNATURE // 64)]
+    return both.where(_may_reach(bits, F.col("x_n") + F.col("y_n"), num, den)).select(*dealt.columns).distinct()
+
+
+def _matched(shared: DataFrame, dealt: DataFrame, hot: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (x, y) that share as many n-grams of their prefixes as they ask for; ``shared`` has the prefixes."""
+    mine, _ = split_by(shared.withColumnRenamed("doc_id", "id"), "id", _ids(dealt), "id")
+    both = _met(dealt, hot, mine.groupBy("id", "n", "ell").agg(F.collect_list(F.struct("at", "gram")).alias("first")))
+    ell = F.least("x_ell", "y_ell")
+    slack = ell - _alpha(F.col("x_n"), F.col("y_n"), num, den)
+    own = lambda c: F.transform(F.filter(f"{c}_first", lambda g: g["at"] < F.col(f"{c}_n") + slack), lambda g: g["gram"])
+    return both.where(F.size(F.array_intersect(own("x"), own("y"))) >= ell).select(*dealt.columns).distinct()
 
 
 def _may_reach(bits: list[tuple[Column, Column]], whole: Column, num: int, den: int) -> Column:
@@ -164,17 +200,23 @@ def _xor(parts: list[Column]) -> Column:
     return out
 
 
-def _linked(docs: DataFrame, signed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Those of ``pairs(x, y)`` whose sets reach the similarity num / den; written, so that the sets can go."""
-    pairs = cut(_likely(signed, pairs, num, den), "join-likely")
-    ids = cut(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "join-ids")
+def _linked(docs: DataFrame, signed: DataFrame, shared: DataFrame | None, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Those of ``pairs(x, y)`` whose sets reach the similarity num / den; written, so that the sets can go.
+
+    ``shared`` has the prefixes in which matches are still to be counted; without it they have been.
+    """
+    dealt, hot = _dealt(pairs)
+    pairs = cut(_likely(signed, dealt, hot, num, den), "join-likely")
+    if shared is not None:
+        likely, pairs = pairs, cut(_matched(shared, pairs, hot, num, den), "join-matched")
+        drop_cut(likely)
+    ids = cut(_ids(pairs).distinct(), "join-ids")
     sets = cut(_sets(docs, ids, width), "join-sets")
-    of = lambda c: sets.select(F.col("id").alias(c), F.col("grams").alias(f"{c}s")).hint("shuffle_merge")
-    both = pairs.join(of("y"), "y").join(of("x"), "x")
-    shared = F.size(F.array_intersect("xs", "ys")).cast("long")
-    whole = F.size("xs").cast("long") + F.size("ys")
-    links = cut(both.where(shared * (den + num) >= num * whole).select("x", "y").distinct(), "join-links")
-    for used in (pairs, ids, sets):
+    both = _met(pairs, hot, sets)
+    common = F.size(F.array_intersect("x_grams", "y_grams")).cast("long")
+    whole = F.size("x_grams").cast("long") + F.size("y_grams")
+    links = cut(both.where(common * (den + num) >= num * whole).select("x", "y").distinct(), "join-links")
+    for used in (pairs, ids, sets, hot):
         drop_cut(used)
     return links
 
@@ -230,7 +272,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
     a = both.select("doc_id", F.struct(*_unpacked("meta")).alias("a"), "hub_id", F.struct(*_unpacked("hub_meta")).alias("b"))
     pairs = a.where((F.col("doc_id") != F.col("hub_id")) & _may_match("a", "b", num, den))
     pairs = cut(pairs.select(F.least("doc_id", "hub_id").alias("x"), F.greatest("doc_id", "hub_id").alias("y")).distinct(), "join-pairs")
-    links = _linked(docs, signed, pairs, width, num, den)
+    links = _linked(docs, signed, shared, pairs, width, num, den)
 
     # the same with a hub among the documents outside the largest component of an n-gram; then all that are left
     for last in (False, True):
@@ -253,7 +295,7 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> Data
             met = placed.join(b, F.col("gram") == F.col("g")).where(F.col("comp") != F.col("hub_comp")).select("doc_id", F.struct("n", "ell", "at").alias("a"), "b")
             more = met.where(_may_match("a", "b", num, den)).select(F.least("doc_id", "b.doc_id").alias("x"), F.greatest("doc_id", "b.doc_id").alias("y")).distinct()
         more = cut(more.join(pairs, ["x", "y"], "left_anti"), "join-more")
-        links = links.union(_linked(docs, signed, more, width, num, den))
+        links = links.union(_linked(docs, signed, None if last else shared, more, width, num, den))
         pairs = pairs.union(more)
     comps = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "join-components")
 
