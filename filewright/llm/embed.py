@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import components, cut
+from filewright.llm.common import components, cut, join_counted, release_worker_state, share
 
 THRESHOLD = 0.9
 #: Cells, at least, that a vector looks into; how far a neighbour strays, in standard deviations.
@@ -100,6 +100,7 @@ def _scan(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     schema = pa.schema([("vec_id", pa.int64()), ("digest", pa.binary()), ("dim", pa.int32()), ("vec", pa.binary())])
 
     def run(batches):
+        release_worker_state()
         for batch in batches:
             digests, dims, vecs = [], [], []
             for value in batch.column(1):
@@ -142,9 +143,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     edges = links.where("toward is not null").select(F.col("digest").alias("a"), F.col("toward").alias("b"))
     comps = components(edges, "embed-components")
     counts = links.groupBy("digest").agg(F.sum("n").alias("n"))
-    placed = classes.select("digest", "rep", "copies").join(comps, F.col("digest") == F.col("node"), "left").select("digest", "rep", "copies", F.coalesce("comp", "digest").alias("comp"))
-    least = placed.groupBy("comp").agg(F.min("rep").alias("least"))
-    placed = placed.join(least, "comp").join(counts, "digest", "left").select("digest", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
+    placed = cut(classes.select("digest", "rep", "copies").join(comps, F.col("digest") == F.col("node"), "left").select("digest", "rep", "copies", F.coalesce("comp", "digest").alias("comp")), "embed-components")
+    least = placed.groupBy("comp").agg(F.min("rep").alias("least"), F.count("*").alias("size"))
+    placed = join_counted(placed, least, ["comp"], "size").join(counts, "digest", "left").select("digest", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
     out = rows.select("vec_id", "digest").join(placed, "digest", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("least", "vec_id"))
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
@@ -158,10 +159,11 @@ def _cells(spark, classes: DataFrame, dim: int, n: int, dtype, threshold: float,
     fitted = fit(unit(np.frombuffer(b"".join(sorted(some)), dtype), dim), k)
     cell_of = merged(fitted, threshold)
     n_cells = int(cell_of.max()) + 1
-    centres = spark.sparkContext.broadcast((fitted, cell_of))
+    centres = share(spark, (fitted, cell_of))
     placed_schema = pa.schema([("digest", pa.binary()), ("copies", pa.int64()), ("vec", pa.binary()), ("cells", pa.list_(pa.int32()))])
 
     def place(batches):
+        release_worker_state()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -173,10 +175,11 @@ def _cells(spark, classes: DataFrame, dim: int, n: int, dtype, threshold: float,
     home_blocks, guest_blocks = np.ones(n_cells, np.int64), np.ones(n_cells, np.int64)
     for r in seen:  # a row for each cell
         home_blocks[r.cell], guest_blocks[r.cell] = max(1, -(-r.homes // block)), max(1, -(-r.guests // (2 * block)))
-    blocks = spark.sparkContext.broadcast((home_blocks, guest_blocks))
+    blocks = share(spark, (home_blocks, guest_blocks))
     task_schema = pa.schema([("task", pa.string()), ("role", pa.int32()), ("digest", pa.binary()), ("copies", pa.int64()), ("vec", pa.binary()), ("cells", pa.list_(pa.int32()))])
 
     def deal(batches):
+        release_worker_state()
         homes, guests = blocks.value
         for batch in batches:
             tasks, roles, at = [], [], []

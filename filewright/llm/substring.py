@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from filewright.llm.common import cut, mix64, rolling, sliding_min, small_batches, split_by
+from filewright.llm.common import cut, join_counted, mix64, release_worker_state, rolling, sliding_min, small_batches, split_by
 
 WINDOW = 50
 SPAN = 12
@@ -66,6 +66,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, span: int = SPAN) ->
     schema = _schema(("doc_id", "long"), ("tag", "int"), ("digest", "binary"), ("minis", "longs"))
 
     def scan(batches):
+        release_worker_state()
         for batch in batches:
             digests, minis = [], []
             for text in batch.column(1).to_pylist():
@@ -85,6 +86,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, span: int = SPAN) ->
     found = _schema(("doc_id", "long"), ("tag", "int"), ("start", "int"), ("h1", "long"), ("h2", "long"))
 
     def windows(batches):
+        release_worker_state()
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, tag, text, minis in zip(ids, tags, batch.column(2).to_pylist(), batch.column(3)):
@@ -101,8 +103,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, span: int = SPAN) ->
     maybe, _ = split_by(_texts(docs).withColumnRenamed("doc_id", "id"), "id", wanted, "doc_id")
     again = wanted.join(maybe, F.col("doc_id") == F.col("id")).select("doc_id", "tag", "text", "minis")
     hashed = cut(again.mapInArrow(windows, "doc_id long, tag int, start int, h1 long, h2 long"), "substring-windows")
-    least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "lo")
-    gone = hashed.join(least, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).where("doc_id > lo")
+    least = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo < hi").drop("hi")
+    gone = join_counted(hashed, least, ["h1", "h2"], "n").where("doc_id > lo")
     starts = gone.groupBy("doc_id", "tag").agg(F.collect_list("start").alias("starts"))
     return same, starts
 
@@ -150,6 +152,7 @@ def remove(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> DataFrame
         return words
 
     def apply(batches):
+        release_worker_state()
         for batch in batches:
             counts, gone, kept = [], [], []
             for text, fates in zip(batch.column(1).to_pylist(), batch.column(2)):
