@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Callable
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
@@ -90,26 +89,45 @@ def parse_int(c: Column) -> Column:
     return F.regexp_extract(c, r"^\s*([+-]?\d+)", 1).try_cast("long")
 
 
-# Named entities that filings use, besides numeric ones.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&mdash;": "—", "&ndash;": "–", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&#39;": "'", "&#160;": " ", "&amp;": "&"}
+def unescape(c: Column) -> Column:
+    """Entities decoded once, numeric ones and the named ones of HTML 4; anything else stays as it is."""
+    names = F.create_map(*(F.lit(x) for k, v in sorted({**name2codepoint, "apos": 39}.items()) for x in (k, v)))
+
+    def part(p: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("int")).when(name.startswith("#"), F.substring(name, 2, 7).cast("int"))
+        return let(F.struct(name.alias("name"), F.coalesce(number, F.try_element_at(names, name)).alias("code")), lambda x: _decoded(p, x))
+
+    parts = F.split(c, "&", -1)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.size(parts)), part)), "")).otherwise(c)
+
+
+def _decoded(p: Column, x: Column) -> Column:
+    fine = (x["code"] > 0) & (x["code"] < 0x110000) & ~x["code"].between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(x["code"]), 8, "0")), "UTF-32")
+    return F.when(fine, F.concat(char, F.substring(p, F.length(x["name"]) + 2, F.length(p)))).otherwise(F.concat(F.lit("&"), p))
 
 
 def clean_html(c: Column) -> Column:
     """H1: entities decoded, line breaks and no-break spaces to blanks, blanks squeezed, only what follows <TEXT>."""
-    c = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), c)
-    c = F.regexp_replace(F.regexp_replace(c, "[ \r\n]", " "), " +", " ")
+    c = F.regexp_replace(F.regexp_replace(unescape(c), "[\u00A0\r\n]", " "), " +", " ")
     at = F.instr(c, "<TEXT>")
     return F.when(at > 0, F.substring(c, at + 6, F.length(c))).otherwise(c)
 
 
-def unescape(text: str) -> str:
-    """All entities, for what the Column form's table doesn't hold."""
-    return html.unescape(text)
+# Phrases that stand before or after a company's name in a signature.
+COMPANY_PREFIX = r"^(?<prefix>(\(?Managing Partner|Managing Member|Partner|General Partner\)?)\s+(of the Issuer|of Issuer|of (the )?General Partner)?)\b"
+COMPANY_POSTFIX = r"\b(?<postfix>(\(?Managing Partner|Managing Member|Partner|General Partner\)?)(\s+(of the Issuer|of Issuer|of (the )?General Partner))?)$"
+
+
+def company_prefix(c: Column) -> Column:
+    """H2: the phrase of a role that a company's name follows; empty without one."""
+    return F.regexp_extract(c, f"(?i){COMPANY_PREFIX}", 1)
 
 
-def company_phrase(c: Column) -> Column:
-    """H2: the phrase after which, or before which, a company's name stands in running text."""
-    return F.regexp_extract(c, r"(?i)\b(?:of|by|with|between|among) ([A-Z][\w&.,' -]{2,60}?(?:Inc|Corp|LLC|Ltd|Company)\b\.?)", 1)
+def company_postfix(c: Column) -> Column:
+    """H2: the phrase of a role that follows a company's name; empty without one."""
+    return F.regexp_extract(c, f"(?i){COMPANY_POSTFIX}", 1)
 
 
 def is_bad_person(c: Column) -> Column:

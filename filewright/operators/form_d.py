@@ -64,6 +64,9 @@ class FormD:
     person_edges: DataFrame
     address_edges: DataFrame
     phone_edges: DataFrame
+    company_addresses: DataFrame
+    company_phones: DataFrame
+    person_addresses: DataFrame
     previous_names: DataFrame
     rejects: DataFrame
 
@@ -109,7 +112,7 @@ def parties(forms: DataFrame) -> DataFrame:
     one = forms.select(*keys, F.explode(F.concat(F.array(F.struct(F.lit("primary-issuer").alias("kind"), F.col("form.primaryIssuer").alias("i"))), F.coalesce(F.transform("form.issuerList.issuer", lambda i: F.struct(F.lit("additional-issuer").alias("kind"), i.alias("i"))), F.array()))).alias("x")).select(*keys, "x.*").where("i is not null")
     own = parse_int(F.col("i.cik"))
     name = F.coalesce(F.nullif(trim_all(F.col("i.entityName")), F.lit("")), F.concat(F.lit("Entity "), F.col("i.cik")))
-    issuers = one.select(*keys, F.concat(F.lit("form-d:"), "kind").alias("relation_name"), F.array().cast("array<string>").alias("titles"), name.alias("name"), F.lit(True).alias("is_company"), own.alias("party_cik"), text.alias("crd"), F.col("i.issuerAddress").alias("raw_address"), F.col("i.issuerPhoneNumber").alias("raw_phone"), F.array_compact(F.concat(*(F.coalesce(F.transform(f"i.{f}.previousName", lambda p, t=t: F.struct(p.alias("previous_name"), F.lit(t).alias("name_type"))), F.array()) for f, t in (("issuerPreviousNameList", "issuer"), ("edgarPreviousNameList", "edgar"))))).alias("previous"))
+    issuers = one.select(*keys, F.concat(F.lit("form-d:"), "kind").alias("relation_name"), F.array(F.when(F.col("kind") == "primary-issuer", "Primary Issuer").otherwise("Additional Issuer")).alias("titles"), name.alias("name"), F.lit(True).alias("is_company"), own.alias("party_cik"), text.alias("crd"), F.col("i.issuerAddress").alias("raw_address"), F.col("i.issuerPhoneNumber").alias("raw_phone"), F.array_compact(F.concat(*(F.coalesce(F.transform(f"i.{f}.previousName", lambda p, t=t: F.struct(p.alias("previous_name"), F.lit(t).alias("name_type"))), F.array()) for f, t in (("issuerPreviousNameList", "issuer"), ("edgarPreviousNameList", "edgar"))))).alias("previous"))
 
     none = F.array().cast("array<struct<previous_name:string,name_type:string>>").alias("previous")
     p = forms.select(*keys, F.explode("form.relatedPersonsList.relatedPersonInfo").alias("p"))
@@ -133,15 +136,18 @@ def parties(forms: DataFrame) -> DataFrame:
     return rows.withColumn("phone", F.when(F.col("raw_phone").isNotNull(), phone_or_us(F.col("raw_phone"), F.coalesce(F.col("address.country_code"), F.lit("US")))))
 
 
-def extract(forms: DataFrame) -> FormD:
-    """FD1-FD8: everything, from forms with columns cik, file_number, accession_number and form."""
-    rows = parties(forms)
+def extract(forms: DataFrame, rows: DataFrame | None = None) -> FormD:
+    """FD1-FD8: everything, from forms with columns cik, file_number, accession_number and form.
+
+    ``rows`` may be the parties of the forms, if they have been written once for all outputs.
+    """
+    rows = parties(forms) if rows is None else rows
     edge = F.when(F.col("is_company"), F.col("company.company_hash_id")).otherwise(F.col("person.person_hash_id"))
     known = rows.where(edge.isNotNull())
     distinct = lambda c, key: rows.where(F.col(c).isNotNull()).groupBy(F.col(f"{c}.{key}").alias("__k")).agg(F.max(c).alias("r")).select("r.*")
     own = F.col("party_cik")
     issuer_edges = rows.where(F.col("relation_name").isin("form-d:primary-issuer", "form-d:additional-issuer") & own.isNotNull() & (own != F.col("cik")))
-    extra = issuer_edges.where("company is not null").select("company.company_hash_id", F.lit("form-d:issuer").alias("relation_name"), "cik", "titles")
+    extra = issuer_edges.where("company is not null").select("company.company_hash_id", F.lit("form-d:issuer").alias("relation_name"), own.alias("cik"), F.array(F.lit("Issuer")).alias("titles"))
     none = F.lower(trim_all(F.col("x.previous_name")))
     reject = lambda c, what: rows.where(c).select("cik", "accession_number", "relation_name", F.lit(what).alias("reason"), F.col("name").alias("payload"))
     return FormD(
@@ -156,6 +162,9 @@ def extract(forms: DataFrame) -> FormD:
         person_edges=known.where("not is_company").select("person.person_hash_id", "relation_name", "cik", "titles"),
         address_edges=rows.where("address is not null").select("address.address_hash_id", "relation_name", "cik").distinct(),
         phone_edges=rows.where("phone is not null").select("phone.international_number", "relation_name", "cik").distinct(),
-        previous_names=known.where("is_company").select("company.company_hash_id", F.explode("previous").alias("x")).where((none != "") & (none != "none")).select("company_hash_id", "x.previous_name", "x.name_type", F.lit("Form D").alias("source")).distinct(),
+        company_addresses=known.where("is_company and address is not null").select("company.company_hash_id", "relation_name", "address.address_hash_id").distinct(),
+        company_phones=known.where("is_company and phone is not null").select("company.company_hash_id", "relation_name", "phone.international_number").distinct(),
+        person_addresses=known.where("not is_company and address is not null").select("person.person_hash_id", "relation_name", "address.address_hash_id").distinct(),
+        previous_names=known.where("is_company").select("company.company_hash_id", F.explode("previous").alias("x")).where((none != "") & (none != "none")).select("company_hash_id", "x.previous_name", "x.name_type", F.lit("Form D").alias("source"), F.lit(None).cast("string").alias("date_changed")).distinct(),
         rejects=reject(edge.isNull(), "name").unionByName(reject(F.col("raw_address").isNotNull() & F.col("address").isNull(), "address")).unionByName(reject(F.col("raw_phone").isNotNull() & F.col("phone").isNull(), "phone")),
     )

@@ -74,3 +74,6 @@ TABLES = {
         T("portals", "cik long, name string, brand string, url string, live boolean", ("cik",), ("name",)),
     ]
 }
+
+#: What could not be normalized, beside the tables: a row instead of an exception.
+REJECTS = T("rejects", "cik long, accession_number string, relation_name string, reason string, payload string", ("cik", "accession_number", "relation_name", "reason", "payload"))

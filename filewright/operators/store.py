@@ -109,8 +109,22 @@ class Store:
         fs, where = self._fs(f"{self._pointer(spec)}/{version}")
         fs.create(where, False).close()  # the pointer is the greatest name; to create it is atomic
         if before:
-            for path in (f"{self._pointer(spec)}/{before}",):
-                fs.delete(self._fs(path)[1], False)
+            fs.delete(self._fs(f"{self._pointer(spec)}/{before}")[1], False)
+            # readers that hold the version before still find it; the one before that goes
+            older = sorted(s.getPath().getName() for s in fs.listStatus(self._fs(f"{self.root}/{spec.name}")[1]))
+            for name in older:
+                if name[0].isdigit() and name < before:
+                    fs.delete(self._fs(f"{self.root}/{spec.name}/{name}")[1], True)
+
+    def staged(self, df: DataFrame) -> DataFrame:
+        """``df`` written once beside the tables, so that several writes needn't work it out again."""
+        path = f"{self.root}/_staged/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_staged(self) -> None:
+        fs, where = self._fs(f"{self.root}/_staged")
+        fs.delete(where, True)
 
     def put(self, spec: TableSpec, rows: DataFrame, order: str | None = None) -> None:
         """K1, K2, U3."""

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from filewright.functions.scalars import today
 from filewright.operators import catalog, form_d, lookup, planning, reshape
-from filewright.operators.specs import TABLES
-from filewright.operators.store import Store
+from filewright.operators.specs import REJECTS, TABLES
+from filewright.operators.store import Store, require_consistent
 from filewright.sources import files
 
 
@@ -22,7 +22,7 @@ class Engine:
 
     def setup(self) -> None:
         """L1."""
-        for spec in TABLES.values():
+        for spec in (*TABLES.values(), REJECTS):
             self.store.create(spec)
 
     def load_names(self) -> None:
@@ -84,22 +84,30 @@ class Engine:
         main.unpersist()
 
     def load_forms(self, **criteria) -> form_d.FormD:
-        """The filings of the criteria (cik, form, accession_number) that have a parser, parsed and stored."""
+        """The filings of the criteria (cik, form, accession_number) that have a parser, parsed and stored.
+
+        The documents are parsed once and written; every table is a plan over that. What can't be normalized goes to
+        ``rejects``, a filing that can't be read or parsed is a failure in ``processed_filings``.
+        """
+        self.store.drop_staged()
         rows = lookup.search(self.table("filings"), **criteria)
         known = catalog.dispatch(rows, catalog.catalogue(self.spark)).where("reason is null").drop("reason", "family")
         docs = files.documents(self.spark, f"{self.landing}/data/*/*").withColumn("accession_plain", F.regexp_extract("path", r"/([^/]+)/[^/]+\z", 1))
-        texts = known.withColumn("accession_plain", F.replace("accession_number", F.lit("-"), F.lit(""))).join(docs, "accession_plain")
-        out = form_d.extract(form_d.parse(texts.select("cik", "file_number", "accession_number", "text")))
-        put = lambda name, rows: self.store.put(TABLES[name], rows.select(*TABLES[name].schema.names))
-        put("investment_offerings", out.offerings)
-        put("investment_offerings_history", out.history)
-        put("issuers", out.issuers)
-        put("companies", out.companies)
-        put("persons", out.persons)
-        put("addresses", out.addresses)
-        put("phones", out.phones)
-        put("companies_entity_junction", out.company_edges)
-        put("persons_entity_junction", out.person_edges)
-        put("addresses_entity_junction", out.address_edges)
-        put("phones_entity_junction", out.phone_edges)
+        wanted = known.withColumn("accession_plain", F.replace("accession_number", F.lit("-"), F.lit("")))
+        texts = wanted.join(docs, "accession_plain").select("cik", "file_number", "accession_number", "form", "text")
+        parsed = self.store.staged(form_d.parse(texts.withColumnRenamed("form", "form_type")).drop("text"))
+        good = parsed.where("form.primaryIssuer is not null")
+        out = form_d.extract(good, self.store.staged(form_d.parties(good)))
+        require_consistent(out.offerings.distinct(), out.history.select("cik", "file_number").distinct(), ["file_number", "cik"], ["cik", "file_number"])
+        for name, rows in {
+            "investment_offerings": out.offerings, "investment_offerings_history": out.history, "issuers": out.issuers, "companies": out.companies, "persons": out.persons,
+            "addresses": out.addresses, "phones": out.phones, "companies_entity_junction": out.company_edges, "persons_entity_junction": out.person_edges,
+            "addresses_entity_junction": out.address_edges, "phones_entity_junction": out.phone_edges, "companies_address_junction": out.company_addresses,
+            "companies_phone_junction": out.company_phones, "persons_address_junction": out.person_addresses, "companies_previous_names": out.previous_names,
+        }.items():
+            self.store.put(TABLES[name], rows.select(*TABLES[name].schema.names))
+        self.store.put(REJECTS, out.rejects.select(*REJECTS.schema.names))
+        done = parsed.groupBy("cik", "accession_number").agg(F.max(F.col("form.primaryIssuer").isNotNull()).alias("success"))
+        results = wanted.select("cik", "accession_number", "form").join(done, ["cik", "accession_number"], "left")
+        self.store.put(TABLES["processed_filings"], results.select("cik", "accession_number", "form", F.date_format(self.day, "yyyy-MM-dd").alias("last_processed"), F.coalesce("success", F.lit(False)).alias("success")))
         return out

@@ -109,7 +109,7 @@ def xml_form(texts: DataFrame, schema: T.StructType | str, column: str = "text")
 def response_type(path: Column) -> Column:
     """How a fetched file is read, by its extension."""
     ext = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)\z", 1))
-    return F.when(ext == "json", "json").when(ext.isin("txt", "htm", "html", "xml", "idx", "csv"), "text").otherwise("blob")
+    return F.when(ext == "json", "json").when(ext.isin("idx", "txt", "xml", "xbrl", "csv", "html", "htm"), "text").otherwise("blob")
 
 
 def is_stale(modified: Column, date: Column) -> Column:

@@ -106,3 +106,10 @@ def test_normal_forms_are_fixed_points(spark):
     names = ["Orion Tools, Inc", "B & B Co", "Über Corp. Ltd", "x", "Series A"]
     rows = spark.createDataFrame([(n,) for n in names], "v string").select(company.normal_name(F.col("v")).alias("a")).select("a", company.normal_name(F.col("a")).alias("b"), company.slug(F.col("a")).alias("s"), company.slug(company.slug(F.col("a"))).alias("t")).collect()
     assert all(r.a == r.b and r.s == r.t for r in rows)
+
+
+def test_entities_and_phrases(spark):
+    assert one(spark, "it&#8217;s &eacute; &amp;lt; &x; &#xe9;&#0; a&b &#128512;", scalars.unescape) == "it\u2019s \u00e9 &lt; &x; \u00e9&#0; a&b \U0001f600"
+    assert one(spark, "Managing Member of the Issuer Acme LLC", scalars.company_prefix) == "Managing Member of the Issuer"
+    assert one(spark, "Acme LLC General Partner of the General Partner", scalars.company_postfix) == "General Partner of the General Partner"
+    assert one(spark, "Acme LLC", scalars.company_prefix) == ""
