@@ -103,6 +103,10 @@ def _address(c: str) -> Column:
     return F.when(F.col(c).isNotNull(), address(a("street1"), a("street2"), F.lit(None).cast("string"), F.coalesce(a("city"), F.lit("")), a("stateOrCountry"), a("zipCode")))
 
 
+def _previous(field: str, kind: str) -> Column:
+    return F.coalesce(F.transform(f"i.{field}.previousName", lambda p: F.struct(p.alias("previous_name"), F.lit(kind).alias("name_type"))), F.array())
+
+
 def parties(forms: DataFrame) -> DataFrame:
     """FD4-FD7: a row for each party of a form: relation, titles, company or person, raw and normal address, phone."""
     keys = ["cik", "file_number", "accession_number"]
@@ -112,7 +116,7 @@ def parties(forms: DataFrame) -> DataFrame:
     one = forms.select(*keys, F.explode(F.concat(F.array(F.struct(F.lit("primary-issuer").alias("kind"), F.col("form.primaryIssuer").alias("i"))), F.coalesce(F.transform("form.issuerList.issuer", lambda i: F.struct(F.lit("additional-issuer").alias("kind"), i.alias("i"))), F.array()))).alias("x")).select(*keys, "x.*").where("i is not null")
     own = parse_int(F.col("i.cik"))
     name = F.coalesce(F.nullif(trim_all(F.col("i.entityName")), F.lit("")), F.concat(F.lit("Entity "), F.col("i.cik")))
-    issuers = one.select(*keys, F.concat(F.lit("form-d:"), "kind").alias("relation_name"), F.array(F.when(F.col("kind") == "primary-issuer", "Primary Issuer").otherwise("Additional Issuer")).alias("titles"), name.alias("name"), F.lit(True).alias("is_company"), own.alias("party_cik"), text.alias("crd"), F.col("i.issuerAddress").alias("raw_address"), F.col("i.issuerPhoneNumber").alias("raw_phone"), F.array_compact(F.concat(*(F.coalesce(F.transform(f"i.{f}.previousName", lambda p, t=t: F.struct(p.alias("previous_name"), F.lit(t).alias("name_type"))), F.array()) for f, t in (("issuerPreviousNameList", "issuer"), ("edgarPreviousNameList", "edgar"))))).alias("previous"))
+    issuers = one.select(*keys, F.concat(F.lit("form-d:"), "kind").alias("relation_name"), F.array(F.when(F.col("kind") == "primary-issuer", "Primary Issuer").otherwise("Additional Issuer")).alias("titles"), name.alias("name"), F.lit(True).alias("is_company"), own.alias("party_cik"), text.alias("crd"), F.col("i.issuerAddress").alias("raw_address"), F.col("i.issuerPhoneNumber").alias("raw_phone"), F.array_compact(F.concat(_previous("issuerPreviousNameList", "issuer"), _previous("edgarPreviousNameList", "edgar"))).alias("previous"))
 
     none = F.array().cast("array<struct<previous_name:string,name_type:string>>").alias("previous")
     p = forms.select(*keys, F.explode("form.relatedPersonsList.relatedPersonInfo").alias("p"))

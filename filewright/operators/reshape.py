@@ -42,7 +42,8 @@ def filings(submission: DataFrame, overflow: DataFrame | None = None) -> DataFra
     one = submission.select(parse_int(F.col("cik").cast("string")).alias("cik"), F.col("filings.recent").alias("recent"))
     if overflow is not None:
         one = one.unionByName(overflow.select("cik", "recent"))
-    rows = one.select("cik", F.inline(F.arrays_zip(*(F.col(f"recent.{c}").alias(c) for c in _WIRE))))
+    types = one.schema["recent"].dataType  # an array that is not there is all null
+    rows = one.select("cik", F.inline(F.arrays_zip(*(F.coalesce(F.col(f"recent.{c}"), F.array().cast(types[c].dataType)).alias(c) for c in _WIRE))))
     out = []
     for wire, name in _WIRE.items():
         c = F.col(wire)

@@ -403,7 +403,7 @@ def _(t):
     return t.orders.select("o_orderkey", scalars.parse_int(F.col("o_orderpriority")).alias("n"))
 
 
-@query("h1_clean_html", "SELECT page_id, regexp_replace(regexp_replace(replace(replace(replace(replace(replace(html, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \r\n]', ' ', 'g'), ' +', ' ', 'g') AS body FROM pages")
+@query("h1_clean_html", "SELECT page_id, regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \r\n]', ' ', 'g'), ' +', ' ', 'g') AS body FROM pages")
 def _(t):
     return t.pages.select("page_id", scalars.clean_html(F.concat(F.lit("x<TEXT>"), F.col("html"))).alias("body"))
 

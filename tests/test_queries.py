@@ -3,6 +3,7 @@
 import pytest
 
 from compare import duck, same
+from filewright.plans import form_queries  # noqa: F401  registers its queries
 from filewright.plans.queries import QUERIES, SQL
 
 

@@ -88,7 +88,7 @@ def test_form_d(spark):
     assert {r.company_name for r in out.companies.collect()} == {"Orion Fund LLC", "Second LP", "Orion Manager LLC", "Big Broker"}
     assert {r.person_hash_id for r in out.persons.collect()} == {"anna-lee"} and out.addresses.count() == 1 and out.phones.count() == 1
     assert sorted(r.relation_name for r in out.person_edges.collect()) == ["form-d:related-person", "form-d:signature"]
-    assert [r.previous_name for r in out.previous_names.collect()] == ["Old Orion Inc"]
+    assert [(r.previous_name, r.name_type) for r in out.previous_names.collect()] == [("Old Orion Inc", "issuer")]
     assert {r.reason for r in out.rejects.collect()} == {"address"}
     signer = out.person_edges.where("relation_name = 'form-d:signature'").first()
     assert signer.titles == ["CEO", "Authorized Representative"]
