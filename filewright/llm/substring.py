@@ -76,7 +76,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, span: int = SPAN) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_tag, digests), pa.int32()), pa.array(digests, pa.binary()), pa.array(minis, pa.list_(pa.int64()))], schema=schema)
 
     rows = cut(_texts(docs).where("doc_id is not null").mapInArrow(scan, "doc_id long, tag int, digest binary, minis array<long>"), "substring-scan")
-    same = cut(rows.select("doc_id", "tag", "digest").join(rows.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest").select("doc_id", "tag", "first").distinct(), "substring-same")
+    firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    same = cut(join_counted(rows.select("doc_id", "tag", "digest"), firsts, ["digest"], "n").select("doc_id", "tag", "first").distinct(), "substring-same")
     own = same.where("doc_id = first").select(F.col("doc_id").alias("id"), F.col("tag").alias("t"))
     texts = rows.join(own, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("t")), "left_semi")
     spans = texts.select("doc_id", "tag", F.explode("minis").alias("mini"))
@@ -126,7 +127,8 @@ def remove(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> DataFrame
     Words are runs of anything but space and the control characters 9 to 13, unchanged. Of several documents that
     hold a window the least id keeps it; windows are judged on the whole input. A null text has no words; a text
     shorter than a window loses nothing; equal ids (repeated rows too) are one document, no row of which removes
-    words of another; a row without an id is kept whole and removes nothing. An empty table gives an empty one.
+    words of another; a row without an id is kept whole and removes nothing; a very long text is one document like any
+    other. An empty table gives an empty one.
     Other columns are ignored.
     """
     same, starts = repeated_windows(docs, window, span)
