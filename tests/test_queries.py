@@ -2,7 +2,7 @@
 
 import pytest
 
-from compare import duck, same
+from compare import SMALL, duck, same
 from filewright.plans import form_queries  # noqa: F401  registers its queries
 from filewright.plans.queries import QUERIES, SQL
 
@@ -41,3 +41,12 @@ def test_plans(spark):
     for name in QUERIES:
         plan = _plan(QUERIES[name](spark, sf))
         assert "CartesianProduct" not in plan and "PythonUDF" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["f5_party_counts"])
+def test_forms_are_parsed_once(spark, name):
+    """The plan that ran holds one parse of the forms; what needs them again reuses an exchange."""
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("from_xml" in line for line in plan.split("\n")) == 1

@@ -163,3 +163,35 @@ def test_catalogue(spark):
     filings = spark.createDataFrame([("D",), ("10-K",), ("??",)], "form string")
     assert {r.form: r.reason for r in catalog.dispatch(filings, codes).collect()} == {"D": None, "10-K": "no parser", "??": "form not found"}
     assert [r.form for r in catalog.unknown_forms(filings, codes).collect()] == ["??"]
+
+
+_PARTS = ("offerings", "history", "issuers", "companies", "persons", "addresses", "phones", "company_edges", "person_edges", "address_edges", "phone_edges", "company_addresses", "company_phones", "person_addresses", "previous_names", "rejects")
+
+
+def test_form_d_before_and_after_distinct(spark):
+    """Every output is the same from parties that are made distinct first as from parties written once, on awkward forms too."""
+    swaps = ((), (("<entityName>", "<entityName>Inc. "), ("212", "000"), ("02101", "")), (("Anna", "Dr"), ("Broker", "Corp"), ("<city>", "<city>  ")), (("<street1>", "<street1>, Suite "), ("Lee", "")), (("<lastName>", "<lastName> "), ("<issuerPhoneNumber>", "<issuerPhoneNumber>x")))
+    rows = []
+    for i, pairs in enumerate(swaps):
+        text = FORM
+        for a, b in pairs:
+            text = text.replace(a, b)
+        rows += [(99 + i, f"021-{i}", f"0-{i}", text), (99 + i, f"021-{i}", f"1-{i}", text)]
+    rows += [(7, "021-7", "0-7", "<edgarSubmission/>"), (8, "021-8", "0-8", "<edgarSubmission><primaryIssuer><cik>5</cik></primaryIssuer><offeringData><signatureBlock><signature/></signatureBlock></offeringData></edgarSubmission>")]
+    forms = form_d.parse(spark.createDataFrame(rows, "cik long, file_number string, accession_number string, text string")).cache()
+    one, two = form_d.extract(forms), form_d.extract(forms, form_d.parties(forms).cache())
+    for part in _PARTS:
+        assert getattr(one, part).columns == getattr(two, part).columns, part
+        assert sorted(map(repr, getattr(one, part).collect())) == sorted(map(repr, getattr(two, part).collect())), part
+    assert form_d.named_parties(forms).count() == form_d.parties(forms).count()
+
+
+def test_form_d_fields(spark):
+    """Parties from some fields of the form are those of the whole form; what a field is missing for fails."""
+    texts = spark.createDataFrame([(99, "021-1", "0-1", FORM)], "cik long, file_number string, accession_number string, text string")
+    whole, some = form_d.extract(form_d.parse(texts)), form_d.extract(form_d.parse_fields(texts, form_d.fields("raw_address", "raw_phone")))
+    for part in ("companies", "persons", "addresses", "phones", "company_addresses", "company_phones", "rejects"):
+        assert sorted(map(repr, getattr(whole, part).collect())) == sorted(map(repr, getattr(some, part).collect())), part
+    for bad in (lambda: some.previous_names.count(), lambda: form_d.parse_fields(texts, ["primaryIssuer.nothing"]).count()):
+        with pytest.raises(Exception):  # noqa: B017
+            bad()
