@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from filewright.functions.company import has_ending
-from filewright.functions.scalars import blank_to_null, let, squeeze, trim_all
+from filewright.functions.scalars import any_of, blank_to_null, let, squeeze, trim_all
 from filewright.functions.vocab import COUNTRIES, PLACE_CODES, US_STATES
 
 # Number words, street types and directions that a US street line abbreviates.
@@ -32,7 +32,8 @@ def place_code(*lines: Column) -> Column:
 
 
 def _first_place(table: Column, line: Column) -> Column:
-    return F.get(F.filter(table, lambda e: F.contains(F.upper(line), e["k"])), F.lit(0))["v"]
+    named = lambda x: F.when(x.rlike(any_of(list(PLACE_CODES))), F.get(F.filter(table, lambda e: F.contains(x, e["k"])), F.lit(0))["v"])
+    return let(F.upper(line), named)
 
 
 def country_code(code: Column, name: Column | None = None, supplied: Column | None = None, countries: list[tuple[str, str, str]] = COUNTRIES) -> Column:
@@ -85,10 +86,25 @@ def address_key(*parts: Column) -> Column:
     return F.concat_ws("|", *(F.nullif(F.lower(trim_all(p)), F.lit("")) for p in parts))
 
 
+def _facts(street1: Column, street2: Column, street3: Column, city_: Column, state: Column, country: Column | None, countries: list) -> Column:
+    lines = consolidate(clean_street(street1), clean_street(street2), clean_street(street3))
+    return let(F.coalesce(blank_to_null(state), place_code(street1, street2, street3, city_)), lambda code: F.struct(code.alias("code"), country_code(code, None, country, countries).alias("iso"), lines.alias("lines")))
+
+
+def is_unknown(street1: Column, street2: Column, street3: Column, city_: Column, state: Column, zip_: Column, country: Column | None = None, countries: list = COUNTRIES) -> Column:
+    """AD9: address() is null for these, told without the parts that never decide it (abbreviations, postal code, key)."""
+
+    def missing(x: Column) -> Column:
+        first = F.get(x["lines"], F.lit(0))
+        one = F.coalesce(F.when((x["iso"] == "US") & first.isNotNull(), F.regexp_replace(first, _UNIT, "")), first, blank_to_null(street1))
+        return ~F.coalesce((x["code"] != "") & (x["iso"] != "") & (trim_all(city_) != "") & (trim_all(one) != ""), F.lit(False))
+
+    return let(_facts(street1, street2, street3, city_, state, country, countries), missing)
+
+
 def address(street1: Column, street2: Column, street3: Column, city_: Column, state: Column, zip_: Column, country: Column | None = None, countries: list = COUNTRIES) -> Column:
     """AD1-AD10 together: the normal address as a struct, null unless street, state, city and country are known."""
-    lines = consolidate(clean_street(street1), clean_street(street2), clean_street(street3))
-    facts = let(F.coalesce(blank_to_null(state), place_code(street1, street2, street3, city_)), lambda code: F.struct(code.alias("code"), country_code(code, None, country, countries).alias("iso"), lines.alias("lines")))
+    facts = _facts(street1, street2, street3, city_, state, country, countries)
 
     def parsed(x: Column) -> Column:
         first = F.get(x["lines"], F.lit(0))

@@ -61,6 +61,15 @@ def normal_name(c: Column, compat: bool = False) -> Column:
     return blank_to_null(remove_phrases(renamed(strip_endings(c, compat))))
 
 
+#: Digits and letters that nothing stripped from a name has.
+_LASTING = "".join(x for x in "0123456789abcdefghijklmnopqrstuvwxyz" if x not in "".join(ENDINGS_STRIPPED).lower())
+
+
+def is_nameless(c: Column) -> Column:
+    """The name normalizes to nothing. Most names show by a letter that is never stripped that they don't."""
+    return F.when(c.rlike(f"(?i)[{_LASTING}]"), F.lit(False)).otherwise(normal_name(c).isNull())
+
+
 def fold(c: Column) -> Column:
     """Letters of Latin-1 and Latin Extended-A without their marks."""
     import unicodedata

@@ -73,6 +73,12 @@ def person(name: Column, cik: Column | None = None, crd: Column | None = None) -
     return let(squeeze(replace_first(name, "/s/")), row)
 
 
+def is_nameless(name: Column) -> Column:
+    """The name has no first and last name. Two plain words without a title before them are always some."""
+    plain = rf"(?i)^(?!(?:{any_of(TITLES)}) )[a-z0-9]+(?: [a-z0-9]+)+\z"
+    return F.when(name.rlike(plain), F.lit(False)).otherwise(person(name).isNull())
+
+
 def slug(*parts: Column) -> Column:
     """R2: the parts that aren't null, joined by dashes, lower-cased, with single dashes and none at the ends."""
     c = F.lower(F.concat_ws("-", *parts))

@@ -6,14 +6,16 @@ instead of an exception.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from filewright.functions.address import address
+from filewright.functions.address import address, is_unknown
+from filewright.functions import company as companies, person as persons
 from filewright.functions.company import company, has_ending
 from filewright.functions.person import person
-from filewright.functions.phone import phone_or_us
+from filewright.functions.phone import phone, phone_or_us
 from filewright.functions.scalars import is_bad_person, parse_int, trim_all
 from filewright.operators.catalog import parser
 from filewright.sources.files import xml_form
@@ -88,9 +90,9 @@ def history(forms: DataFrame) -> DataFrame:
     )
 
 
-def _address(c: str) -> Column:
+def _address(c: str, f: Callable = address) -> Column:
     a = lambda n: F.col(f"{c}.{n}")
-    return F.when(F.col(c).isNotNull(), address(a("street1"), a("street2"), F.lit(None).cast("string"), F.coalesce(a("city"), F.lit("")), a("stateOrCountry"), a("zipCode")))
+    return F.when(F.col(c).isNotNull(), f(a("street1"), a("street2"), F.lit(None).cast("string"), F.coalesce(a("city"), F.lit("")), a("stateOrCountry"), a("zipCode")))
 
 
 def _previous(field: str, kind: str) -> Column:
@@ -182,8 +184,9 @@ def _person() -> Column:
     return F.when(~F.col("is_company"), person(F.col("name"), F.col("party_cik"), F.col("crd")))
 
 
-def _phone() -> Column:
-    return F.when(F.col("raw_phone").isNotNull(), phone_or_us(F.col("raw_phone"), F.coalesce(F.col("address.country_code"), F.lit("US"))))
+def _phone(place: Column | None = None) -> Column:
+    place = F.col("address") if place is None else place
+    return F.when(F.col("raw_phone").isNotNull(), phone_or_us(F.col("raw_phone"), F.coalesce(place["country_code"], F.lit("US"))))
 
 
 def _previous_names() -> Column:
@@ -326,9 +329,15 @@ class FormD:
 
     @cached_property
     def rejects(self) -> DataFrame:
-        rows = self._with(self._each("raw_address", "raw_phone"), company=_company(), person=_person(), address=_address("raw_address"), phone=_phone())
-        edge = F.when(F.col("is_company"), F.col("company.company_hash_id")).otherwise(F.col("person.person_hash_id"))
-        faults = {"name": edge.isNull(), "address": F.col("raw_address").isNotNull() & F.col("address").isNull(), "phone": F.col("raw_phone").isNotNull() & F.col("phone").isNull()}
+        rows, name, called = self._each("raw_address", "raw_phone"), F.col("name"), F.col("raw_phone")
+        if self.rows is None:  # only whether there is a normal form, not what it is; a number that is one in the US needs no country
+            faults = {
+                "name": F.when(F.col("is_company"), companies.is_nameless(name)).otherwise(persons.is_nameless(name)), "address": _address("raw_address", is_unknown),
+                "phone": called.isNotNull() & F.when(phone(called).isNotNull(), F.lit(False)).otherwise(_phone(_address("raw_address")).isNull()),
+            }
+        else:
+            edge = F.when(F.col("is_company"), F.col("company.company_hash_id")).otherwise(F.col("person.person_hash_id"))
+            faults = {"name": edge.isNull(), "address": F.col("raw_address").isNotNull() & F.col("address").isNull(), "phone": called.isNotNull() & F.col("phone").isNull()}
         reasons = F.array_compact(F.array(*(F.when(c, F.lit(what)) for what, c in faults.items())))
         return rows.select("cik", "accession_number", "relation_name", F.explode(reasons).alias("reason"), F.col("name").alias("payload"))
 

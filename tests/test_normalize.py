@@ -113,3 +113,21 @@ def test_entities_and_phrases(spark):
     assert one(spark, "Managing Member of the Issuer Acme LLC", scalars.company_prefix) == "Managing Member of the Issuer"
     assert one(spark, "Acme LLC General Partner of the General Partner", scalars.company_postfix) == "General Partner of the General Partner"
     assert one(spark, "Acme LLC", scalars.company_prefix) == ""
+
+
+def test_missing_told_without_normal_forms(spark):
+    """What has no normal form is told the same by the short way as by the normal form."""
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from filewright.functions import address, company, person
+
+    names = [None, "", " ", " ", "Inc", "Inc.", "Corp Inc", "[related person is an entity]", ", .", "Co, Ltd", "apple", "Zed Inc", "7", "Anna Lee", "Dr Lee", "Dr. Lee", "Mr Anna Lee", "Anna Jr", "Anna Lee Jr", "Anna", "anna  lee", '"Bo" Lee', "/s/ Lee", "Lee, Anna", "Lee, Jr", "(x) (y)", "é è", "a Delaware limited liability company"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    for f, g in ((company.is_nameless, company.company), (person.is_nameless, person.person)):
+        assert rows.where(f(F.col("n")) != g(F.col("n")).isNull()).count() == 0 and rows.where(f(F.col("n")).isNull()).count() == 0
+    streets = [None, " ", ", Suite 5", "Suite 5", "x, Suite 5", "c/o Bo", "One Main Street", "Acme Holdings", "Street", "#"]
+    places = spark.createDataFrame(list(product(streets, [None, "Fl 2", ", Suite 5", "London"], ["", " ", "NYC", "Paris", " "], [None, "", "MA", "X0", "??"])), "a string, b string, c string, d string")
+    given = (F.col("a"), F.col("b"), F.lit(None).cast("string"), F.col("c"), F.col("d"), F.lit("02101"))
+    assert places.where(address.is_unknown(*given) != address.address(*given).isNull()).count() == 0 and places.where(address.is_unknown(*given)).count() not in (0, places.count())
